@@ -4,10 +4,12 @@
    `bins` values from a single hash pass, and bands of `rows` values each. Empty bins copy the
    first filled bin of a fixed random probe order (optimal densification).
 2. Documents with equal sets collapse into a class, so copies are never paired.
-3. In each bucket (equal band) every class is joined to the bucket's smallest class only: star
-   edges, linear in the bucket. Edges are confirmed on the full sets of the texts.
-4. Links that stars can miss join two components that still meet in a bucket. Only such pairs
-   (of fitting sizes, in different components, neither the bucket's star centre) are checked.
+3. In each bucket (equal band) every class is joined to the bucket's centre only: star edges,
+   linear in the bucket. Edges are confirmed on the full sets of the texts.
+4. A star can miss links between two of its points. Buckets that hold several components after a
+   round get another, random centre in the next, and only edges between components are confirmed.
+   After `rounds` rounds the texts left are joined by an exact prefix filter on their shingles,
+   which also finds the links that no star showed.
 5. Components of the confirmed links, as the smallest reachable id.
 
 With 6 rows and 40 bands a pair at similarity 0.8 meets in some bucket with probability 1 - 5e-6.
@@ -20,11 +22,12 @@ and are kept. Extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BASE_A, NO_ID, U64, binary_parts, chunk_words, cut, mix, range_hash, shared_table, signed
@@ -143,7 +146,54 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.mapInArrow(_confirm(width, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bins: int = 240, rows: int = 6) -> DataFrame:
+def _sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            off, raw = binary_parts(batch.column("text"))
+            for a, b, h, begins in chunk_words(off, raw, fold=True):
+                sets, at = shingle_sets(h, begins, width)
+                kept = [batch.column(c).slice(a, b - a) for c in ("rep", "n", "of")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), signed(sets))], names=["rep", "n", "of", "set"])
+
+    return run
+
+
+def _several_components(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    split = rows.groupBy("bucket").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo != hi").select("bucket")
+    return rows.join(split, "bucket", "left_semi")
+
+
+def _pairs_left(rest: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of texts in `rest`, in different components, that may still be links: an exact prefix filter.
+
+    Two texts of n and m shingles are linked only if they share i >= p (n + m) / (100 + p) of them.
+    Then, whatever the order, one of the first n - i + 1 shingles of the first is in the second.
+    Each text's shingles are ordered by how many texts hold them, rarest first, so these prefixes
+    meet few others. One side is enough: that of the smaller component (ties: smaller id). Texts
+    are indexed by shingle and size class, as the prefix is the shorter the larger the other text.
+    """
+    who = rest.select("rep", "of", "n").distinct()
+    sizes = who.groupBy("of").agg(F.count(F.lit(1)).alias("texts"))
+    owner = who.join(sizes, "of").select(F.col("rep").alias("k"), "n", F.struct("texts", "of").alias("of"))
+    rows = texts.join(owner, "k").select(F.col("k").alias("rep"), "n", "of", F.col("text").cast("binary").alias("text"))
+    sets = cut(rows.mapInArrow(_sets(width), "rep long, n long, of struct<texts:long,of:long>, set array<long>"))
+    each = sets.select("rep", "n", "of", F.explode("set").alias("g"))
+    held = each.groupBy("g").agg(F.count(F.lit(1)).alias("df"), F.max("of").alias("top"))
+    needed = lambda n, m: F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / math.log(1.03))
+    longest = F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1
+    order = Window.partitionBy("rep").orderBy("df", "g")
+    prefix = each.join(held, "g").withColumn("r", F.row_number().over(order)).where((F.col("r") <= longest) & (F.col("top") > F.col("of")))
+    low, high = size_class(F.col("n") * percent / 100), size_class(F.col("n") * 100 / percent)
+    ways = prefix.select("g", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("of").alias("a_of"), "r", F.explode(F.sequence(low - 1, high + 1)).alias("class"))
+    ways = ways.where(F.col("r") <= F.col("an") - needed(F.col("an"), F.exp(F.col("class") * math.log(1.03))) + 1)
+    index = each.select("g", F.col("rep").alias("b"), "n", "of", size_class(F.col("n")).alias("class"))
+    met = ways.join(index, ["g", "class"]).where((F.col("of") > F.col("a_of")) & (F.col("of.of") != F.col("a_of.of")) & (F.col("r") <= F.col("an") - needed(F.col("an"), F.col("n")) + 1))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bins: int = 240, rows: int = 6, rounds: int = 1) -> DataFrame:
     """One row per input row: `id_col`, n_shingles, component_id, kept (its id is the component's)."""
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = "k long, n long, h1 long, h2 long, bands array<long>"
@@ -151,33 +201,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = profile.where((F.col("n") > 0) & (F.col("k") != NO_ID))
     classes = known.groupBy("h1", "h2").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    centres = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = shared_table(buckets.join(centres, "bucket").select("bucket", "rep", "n", F.col("centre.rep").alias("centre"), F.col("centre.n").alias("centre_n")).where("rep != centre"), "minhash-members")
-
-    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    stars = members.where(fits(F.col("n"), F.col("centre_n"))).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    wanted = members.select(F.col("rep").alias("k")).union(members.select(F.col("centre"))).distinct()
-    texts = shared_table(keyed.join(wanted, "k", "left_semi"), "minhash-texts")
-    links = cut(_confirmed(stars, texts, width, percent))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
+    members = shared_table(buckets.join(shared, "bucket"), "minhash-members")
+    texts = shared_table(keyed.join(members.select(F.col("rep").alias("k")).distinct(), "k", "left_semi"), "minhash-texts")
 
     # Rows of one id with different texts are one node.
     reps = known.groupBy("h1", "h2").agg(F.min("k").alias("rep"))
     owned = known.select("k", "h1", "h2").join(reps, ["h1", "h2"])
     several = owned.groupBy("k").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi").select("k")
-    own = owned.join(several, "k", "left_semi").select(F.col("rep").alias("a"), F.col("k").alias("b"))
-    links = links.union(own)
-    components = connected_components(links)
-
-    label = lambda df, c: df.join(components.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of")), c, "left").withColumn(f"{c}_of", F.coalesce(f"{c}_of", c))
-    placed = label(members.select("bucket", F.col("rep"), "n"), "rep")
-    split = placed.groupBy("bucket").agg(F.min("rep_of").alias("lo"), F.max("rep_of").alias("hi")).where("lo != hi").select("bucket")
-    rest = placed.join(split, "bucket", "left_semi")
-    other = rest.select("bucket", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("rep_of").alias("b_of"))
-    pairs = cut(rest.withColumnRenamed("rep", "a").join(other, "bucket").where((F.col("a") < F.col("b")) & (F.col("rep_of") != F.col("b_of")) & fits(F.col("n"), F.col("bn"))).select("a", "b").distinct())
-    if pairs.limit(1).count():
-        more = cut(_confirmed(pairs, texts, width, percent))
-        if more.limit(1).count():
-            components = connected_components(links.union(more))
+    links = owned.join(several, "k", "left_semi").select(F.col("rep").alias("a"), F.col("k").alias("b"))
+
+    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    components, rest = None, members.withColumn("of", F.col("rep"))
+    for turn in range(rounds + 1):
+        if turn < rounds:  # stars: every member with one centre of its bucket, another in each round
+            order = F.col("rep") if turn == 0 else F.xxhash64("bucket", "rep", F.lit(turn))
+            centres = rest.groupBy("bucket").agg(F.min(F.struct(order.alias("order"), F.col("rep").alias("rep"), F.col("n").alias("n"), F.col("of").alias("of"))).alias("c"))
+            met = rest.join(centres, "bucket").where((F.col("of") != F.col("c.of")) & fits(F.col("n"), F.col("c.n"))).select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b"))
+        else:  # what stars have left: members of one bucket in different components
+            met = _pairs_left(rest, texts, width, percent)
+        found = cut(_confirmed(met.distinct(), texts, width, percent))
+        links = links.union(found)
+        if turn == 0 or found.limit(1).count():
+            components = connected_components(links)
+        if turn == rounds:
+            break
+        placed = rest.drop("of").join(components.select(F.col("id").alias("rep"), F.col("component").alias("of")), "rep", "left").withColumn("of", F.coalesce("of", "rep"))
+        rest = cut(_several_components(placed))
+        if not rest.limit(1).count():
+            break
 
     placed = owned.groupBy("k").agg(F.min("rep").alias("rep")).join(components.withColumnRenamed("id", "rep"), "rep", "left").select("k", F.coalesce("component", "rep").alias("component_id"))
     null_id = F.when(F.col("k") != NO_ID, F.col("k"))
