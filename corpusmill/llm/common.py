@@ -32,17 +32,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """As cut(), but as compressed Parquet: for wide or large intermediate tables."""
+    """Cuts the lineage through a compressed Parquet table in the shared checkpoint folder.
+
+    Unlike a checkpoint it also resets the planner's size estimates, which otherwise multiply from
+    round to round of an iterative plan.
+    """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/corpusmill/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._shared_path = path
+    return out
+
+
+def cut(df: DataFrame) -> DataFrame:
+    return shared_table(df, "cut")
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Deletes shared tables that nothing reads any more."""
+    for df in tables:
+        if df is not None and (path := getattr(df, "_shared_path", None)):
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, forget
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,13 +23,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         second = hook.select(F.col("x").alias("y"), F.col("y").alias("z"))
         hook = cut(hook.join(second, "y", "left").select("x", F.coalesce("z", "y").alias("to")))
         if labels is None:
-            labels = hook.select(F.col("x").alias("id"), F.col("to").alias("component"))
+            done, labels = None, hook.select(F.col("x").alias("id"), F.col("to").alias("component"))
         else:
             step = hook.select(F.col("x").alias("component"), "to")
-            labels = labels.join(step, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
-        labels = cut(labels)
-        e = e.join(hook.select(F.col("x").alias("u"), F.col("to").alias("tu")), "u").join(hook.select(F.col("x").alias("v"), F.col("to").alias("tv")), "v")
-        e = cut(e.where("tu != tv").select(F.least("tu", "tv").alias("u"), F.greatest("tu", "tv").alias("v")).distinct())
+            done, labels = labels, cut(labels.join(step, "component", "left").select("id", F.coalesce("to", "component").alias("component")))
+        left = e.join(hook.select(F.col("x").alias("u"), F.col("to").alias("tu")), "u").join(hook.select(F.col("x").alias("v"), F.col("to").alias("tv")), "v")
+        last, e = e, cut(left.where("tu != tv").select(F.least("tu", "tv").alias("u"), F.greatest("tu", "tv").alias("v")).distinct())
+        forget(last, done)
     if labels is None:
         return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return labels
