@@ -1,0 +1,445 @@
+"""Each operator against a plain statement of its rule, and on nulls, blanks, ties, repeats, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+pytest.importorskip("corpusmill.llm")
+
+from pyspark.sql import functions as F
+
+from corpusmill.llm import bpe, chat, decontaminate, html, langid, minhash, substring, topk, toxicity, urlfilter
+from corpusmill.llm.components import connected_components
+from corpusmill.llm.queries import RULES
+
+DOCS = "doc_id long, text string, k long, fp long, span long, n long"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return [w for w in SPACE.split(text or "") if w]
+
+
+def docs(spark, rows):
+    """Documents with extra columns whose names the operators use inside."""
+    return spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], DOCS)
+
+
+def corpus(seed=5, n=60, vocabulary=400):
+    """Texts with exact copies, near copies, shared passages, blanks and a long one."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(vocabulary)}" + rng.choice(("", "", ",", "É", "."))
+    text = lambda k: rng.choice((" ", "\n", "  \t")).join(word() for _ in range(k))
+    passage = text(30)
+    out = [None, "", "  \n ", "one", "ONE", "two words", text(3000)]
+    for _ in range(n):
+        kind = rng.randrange(6)
+        base = rng.choice([t for t in out if words_of(t)]) if kind < 3 else text(rng.randrange(1, 120))
+        if kind == 1:
+            w = words_of(base)
+            w[rng.randrange(len(w))] = word()
+            base = " ".join(w)
+        elif kind == 2:
+            base = base.upper()
+        elif kind == 3:
+            base = text(10) + " " + passage + " " + text(5)
+        out.append(base)
+    ids = rng.sample(range(10 * len(out)), len(out))
+    return list(zip(ids, out, strict=True))
+
+
+def brute_repeats(rows, length):
+    seen, out = {}, {}
+    for i, t in sorted(rows):
+        w = words_of(t)
+        gone = [False] * len(w)
+        for s in range(len(w) - length + 1):
+            key = tuple(w[s : s + length])
+            if key in seen:
+                gone[s : s + length] = [True] * length
+            else:
+                seen[key] = (i, s)
+        kept = [x for x, g in zip(w, gone, strict=True) if not g]
+        out[i] = (len(w), sum(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize(("length", "k"), [(20, 6), (8, 3), (5, 5)])
+def test_word_repeats(spark, length, k):
+    rows = corpus()
+    got = {r[0]: tuple(r[1:]) for r in substring.word_repeats(docs(spark, rows), length=length, k=k).collect()}
+    assert got == brute_repeats(rows, length)
+
+
+def test_word_repeats_of_one_long_repetition(spark):
+    rows = [(1, "a b c d " * 400), (2, "a b c d " * 3), (3, "x " * 100)]
+    got = {r[0]: tuple(r[1:]) for r in substring.word_repeats(docs(spark, rows), length=10, k=4).collect()}
+    assert got == brute_repeats(rows, 10)
+
+
+def test_word_repeats_of_repeated_rows_and_ids(spark):
+    t = " ".join(f"v{i}" for i in range(30))
+    rows = [(1, t), (1, t), (2, t), (None, t), (3, "other " + t), (3, "short")]
+    got = sorted((r[0] is None, r[0] or 0, r[1], r[2]) for r in substring.word_repeats(docs(spark, rows)).collect())
+    assert got == [(False, 1, 30, 0), (False, 1, 30, 0), (False, 2, 30, 30), (False, 3, 1, 0), (False, 3, 31, 30), (True, 0, 30, 30)]
+    assert substring.word_repeats(docs(spark, [])).collect() == []
+
+
+def test_cut_words():
+    text = "a b\nc  d e".encode()
+    spans = np.array([1 * substring.SPAN + 1])
+    assert substring.cut_words(text, spans, 2) == (b"a  d e", 2)
+    assert substring.cut_words(b" a b", np.array([1]), 2) == (b"", 2)
+
+
+def shingles(text, width):
+    w = words_of((text or "").translate(LOWER))
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+
+
+def brute_components(rows, width, percent=80):
+    sets = {i: shingles(t, width) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
+
+
+@pytest.mark.parametrize("width", [1, 2, 5])
+def test_near_duplicates(spark, width):
+    rows = corpus(seed=9, n=120, vocabulary=60)
+    got = {r[0]: tuple(r[1:]) for r in minhash.near_duplicates(docs(spark, rows), width=width).collect()}
+    assert got == brute_components(rows, width)
+
+
+def test_near_duplicates_chain_and_borderline(spark):
+    base = [f"s{i}" for i in range(100)]
+    rows = [(i, " ".join(base[: 100 - 6 * i])) for i in range(6)] + [(50 + j, " ".join(base[:90] + [f"z{j}_{m}" for m in range(3 + j)])) for j in range(12)]
+    got = {r[0]: tuple(r[1:]) for r in minhash.near_duplicates(docs(spark, rows), width=2).collect()}
+    assert got == brute_components(rows, 2)
+
+
+def test_near_duplicates_edges(spark):
+    rows = [(7, "a b c"), (7, "a b c"), (3, "A  b C"), (None, "a b c"), (9, None), (8, " "), (9, "a b c")]
+    got = sorted(((r[0] is None, r[0] or 0), r[1], r[2], r[3]) for r in minhash.near_duplicates(docs(spark, rows), width=2).collect())
+    assert got == [((False, 3), 2, 3, True), ((False, 7), 2, 3, False), ((False, 7), 2, 3, False), ((False, 8), 0, 8, True), ((False, 9), 0, 3, False), ((False, 9), 2, 3, False), ((True, 0), 2, None, True)]
+    assert minhash.near_duplicates(docs(spark, [])).collect() == []
+
+
+def test_densified_signatures_agree_like_sets():
+    rng = np.random.default_rng(1)
+    for n in (1, 5, 60, 2000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+        keep = a[rng.random(len(a)) < 0.9]
+        both = np.concatenate((a, keep))
+        sig = minhash.signatures(both, np.array([0, len(a), len(both)]), 240)
+        if len(keep):
+            assert abs((sig[0] == sig[1]).mean() - len(keep) / len(a)) < (0.15 if n > 5 else 0.6)
+        assert (sig[0] != 0).all()
+
+
+def test_connected_components(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_contamination(rows, items, length=10):
+    tokens = lambda t: BENCH_WORD.findall((t or "").translate(LOWER))
+    windows = {}
+    for i, t in items:
+        w = tokens(t)
+        for s in range(max(1, len(w) - length + 1)) if w else ():
+            windows.setdefault(tuple(w[s : s + length]), set()).add(str(i))
+    out = []
+    for i, t in rows:
+        w, hit, found = tokens(t), set(), set()
+        for n in {len(k) for k in windows}:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s : s + n]) in windows:
+                    hit |= set(range(s, s + n))
+                    found |= windows[tuple(w[s : s + n])]
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_contamination(spark):
+    rng = random.Random(4)
+    items = [(i, " ".join(f"q{rng.randrange(30)}" for _ in range(rng.choice((0, 1, 3, 9, 10, 25))))) for i in range(12)] + [(100, None), (101, "!!"), (3, "Dup; É x")]
+    rows = [(1, None), (2, ""), (3, "... --"), (4, "x"), (4, "x"), (None, "dup é x"), (5, "q1 " * 50)]
+    for i in range(40):
+        body = [f"q{rng.randrange(30)}" for _ in range(rng.randrange(0, 60))]
+        if rng.random() < 0.7:
+            body[5:5] = words_of(rng.choice(items)[1])
+        rows.append((10 + i, rng.choice((" ", "-", "\n")).join(body).upper()))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.contamination(docs(spark, rows), bench).drop("items", "fp")
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute_contamination(rows, items)
+    empty = decontaminate.contamination(docs(spark, rows), bench.limit(0))
+    assert empty.where("contaminated").count() == 0 and empty.count() == len(rows)
+    assert decontaminate.contamination(docs(spark, []), bench).count() == 0
+
+
+def test_stored_index_and_proximity(spark):
+    d = docs(spark, [(1, "the red fox and the lazy dog"), (2, "dog lazy red"), (3, "red x x x x x dog lazy"), (4, None)])
+    index = decontaminate.build_index(d)
+    assert index.where("term = 'lazy'").count() == 3
+    phrases = spark.createDataFrame([(1, ["red", "lazy", "dog"])], "phrase_id long, words array<string>")
+    near = lambda slop: {(r["doc_id"], r["start"], r["end"]) for r in decontaminate.proximity_matches(index, phrases, slop).collect()}
+    assert near(0) == {(2, 0, 2)}
+    assert near(3) == {(2, 0, 2), (1, 1, 6)}
+    assert near(5) == {(2, 0, 2), (1, 1, 6), (3, 0, 7)}
+
+
+def test_chat_round_trip(spark):
+    t = chat.Template()
+    pieces = [*t.controls(), "\\", "[", "<", "s>", "/INST]", "é", "\n", "$1", "<<", "]", "text"]
+    rng = random.Random(8)
+    rows = []
+    for c in range(60):
+        for turn in range(rng.randrange(1, 6)):
+            rows.append((c, turn if rng.random() < 0.9 else None, rng.choice(("system", "user", "assistant", "tool", "", None, "<s>", "user\\")), rng.choice((None, "", "".join(rng.choice(pieces) for _ in range(rng.randrange(12)))))))
+    rows += [(None, 0, "user", "x"), (None, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("conv", F.lit(1)).withColumn("pos", F.lit(2))
+    out = chat.format_conversations(df).select("conv", "formatted", chat.parse(F.col("formatted")).alias("parsed"), "segments", "spans", "n_turns").collect()
+    want = {}
+    for c, turn, role, text in rows:
+        want.setdefault(c, []).append(((turn is not None, turn or 0), role or "", text or ""))
+    assert {r["conv"] for r in out} == set(want)
+    for r in out:
+        turns = [(a, b) for _, a, b in sorted(want[r["conv"]])]
+        assert [(p["role"], p["text"]) for p in r["parsed"]] == turns
+        assert "".join(s["text"] for s in r["segments"]) == r["formatted"]
+        masked = [r["formatted"][s["start"] : s["end"]] for s in r["spans"]]
+        assert masked == [s["text"] for s in r["segments"] if s["loss"]]
+        assert len(masked) == sum(a == "assistant" for a, _ in turns)
+
+
+def test_chat_state_machine(spark):
+    talk = lambda c, roles: [(c, i, r, "t") for i, r in enumerate(roles)]
+    rows = talk(1, ["system", "user", "assistant"]) + talk(2, ["user", "user"]) + talk(3, ["user", "assistant", "user"]) + talk(4, ["assistant"]) + talk(5, ["user", "assistant", "system", "assistant"])
+    out = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r["conv"]: (r["valid"], r["first_error"]) for r in out.collect()} == {1: (True, None), 2: (False, 2), 3: (False, None), 4: (False, 1), 5: (False, 3)}
+    assert chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_urls(spark):
+    urls = ["http://a.Example.com/en/7x?q", "https://example.com/en/1", "ftp://x.org/es/", "http://net/de/8", "http://example.net/de/81", "http://notexample.net/de/8", None, "", "no scheme", "x://", "http://h?a://b/c", "http://H#f", "http://blog.casinobonusslots.org/en/", "http://gardentips.net/fr"]
+    df = spark.createDataFrame([(i, u, "z", "y") for i, u in enumerate(urls)], "page_id long, url string, host string, rule string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.judge_urls(df, RULES).collect()}
+    assert got == {
+        0: ("a.example.com", "/en/7x", "example.com/en/7", "allow"), 1: ("example.com", "/en/1", "com/en/", "block"), 2: ("x.org", "/es/", "org/es/", "block"), 3: ("net", "/de/8", "net/de/", "allow"), 4: ("example.net", "/de/81", "example.net/de/8", "block"),
+        5: ("notexample.net", "/de/8", "net/de/", "allow"), 6: ("", "", None, "allow"), 7: ("", "", None, "allow"), 8: ("", "", None, "allow"), 9: ("", "", None, "allow"), 10: ("h", "", None, "allow"), 11: ("h", "", None, "allow"), 12: ("blog.casinobonusslots.org", "/en/", None, "block"), 13: ("gardentips.net", "/fr", None, "allow"),
+    }
+    assert urlfilter.judge_urls(df.limit(0), RULES).count() == 0
+
+
+def test_url_segmentation_is_optimal():
+    model = urlfilter.fit()
+    rng = random.Random(3)
+    vocabulary = [w for w in model.cost if len(w) < 7]
+
+    def best(name):
+        cost = [0.0] + [float("inf")] * len(name)
+        for j in range(1, len(name) + 1):
+            cost[j] = cost[j - 1] + model.unknown
+            for i in range(j):
+                if name[i:j] in model.cost:
+                    cost[j] = min(cost[j], cost[i] + model.cost[name[i:j]])
+        return cost[-1]
+
+    for _ in range(200):
+        name = "".join(rng.choice(vocabulary) if rng.random() < 0.8 else rng.choice("xqz") for _ in range(rng.randrange(1, 5)))
+        parts = model.split(name)
+        assert "".join(parts) == name
+        assert best(name) == pytest.approx(sum(model.cost.get(p, model.unknown * len(p)) for p in parts))
+    assert model.split("cheappillsonline") == ["cheap", "pills", "online"]
+    assert model.score("adult-x.example.com", "") > 0.5 > model.score("weather.example.com", "/en/5")
+
+
+def test_main_text(spark):
+    page = '<html><head><title>T</title><script>var a="<p>no</p>"</script></head><body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>Blog</a></li></ul></nav><div class="cookie-notice">We use cookies here.</div><article><h1>A &amp; B</h1><p><b>Some long enough text of the article stands here, with several words.<br><p>Second\n\n paragraph&nbsp;with more words, and &lt;tags&gt; in it.</p></article><section id="comments"><p>First! Great post, thanks a lot.</p></section><footer>&copy; me</footer>'
+    long = "<article><h1>x</h1>" + "<p>word and more words in here, again.</p>" * 5000 + "</article>"
+    rows = [(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", long), (4, "u", long), (5, "u", "<div" * 3000), (6, "u", "<div>" * 3000)]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, text string")
+    got = [(r["page_id"], r["text"], r["n_chars"]) for r in html.main_text(df).collect()]
+    texts = {i: t for i, t, _ in got}
+    assert texts[1] == "A & B\nSome long enough text of the article stands here, with several words.\nSecond paragraph with more words, and <tags> in it."
+    assert texts[2] == texts[3] == "" and texts[4].count("\n") == 5000 and len(got) == 7
+    assert all(n == len(t) for _, t, n in got)
+    assert html.main_text(df.limit(0)).count() == 0
+
+
+def test_extractor_on_held_out_pages():
+    model, ok = html.default_extractor(), 0
+    pages = html.training_pages(60, seed=99)
+    for page in pages:
+        want = html.Nodes()
+        want.add(re.sub("\x01.*?\x02", "", page, flags=re.S))
+        ok += model.texts([page.replace("\x01", "").replace("\x02", "")])[0] == "\n".join(want.run_text)
+    assert ok >= 0.8 * len(pages)
+
+
+def test_kept_blocks_are_closed_under_ancestors():
+    model = html.default_extractor()
+    nodes = html.Nodes(model.weights)
+    for page in html.training_pages(40, seed=123):
+        nodes.add(page)
+    kept = model.keep(nodes)
+    assert all(p < 0 or kept[p] for p, k in zip(nodes.parent, kept.tolist(), strict=True) if k)
+
+
+def test_language(spark):
+    rng = random.Random(6)
+    sound = {"aa": ("ba", "ko", "mi"), "bb": ("sch", "ent", "ung"), "cc": ("ção", "ño", "él")}
+    text = lambda k, n: " ".join("".join(rng.choice(sound[k]) for _ in range(3)) for _ in range(n))
+    rows = [(i, text(k, 30), k) for i, k in enumerate(list(sound) * 30)] + [(900, None, "aa"), (901, "12 %", "aa"), (902, text("aa", 5), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, per_language=20)
+    tests = [(1, text("bb", 4), "x"), (1, text("bb", 4), "x"), (2, None, "x"), (3, "", "x"), (4, "123 !!", "x"), (5, text("cc", 3).upper(), None), (6, text("aa", 60_000), "x")]
+    got = [(r["doc_id"], r["lang_pred"]) for r in langid.identify(spark.createDataFrame(tests, "doc_id long, text string, score string"), model, {"doc_id": "long"}).collect()]
+    assert sorted(got) == [(1, "bb"), (1, "bb"), (2, "und"), (3, "und"), (4, "und"), (5, "cc"), (6, "aa")]
+    none = langid.fit(df.limit(0))
+    assert {r["lang_pred"] for r in langid.identify(df, none, {"doc_id": "long"}).collect()} == {"und"}
+
+
+def test_gram_vectors_bind_and_counts_add_up():
+    table, vectors = langid.slot_table(), langid.gram_vectors()
+    text = "Häuser, am  See"
+    slots = [0, *[int(table[ord(c)]) for c in text.lower()], 0]
+    slots = [s for i, s in enumerate(slots) if i == 0 or s or slots[i - 1]]
+    want = sum(vectors[(a * langid.SLOTS + b) * langid.SLOTS + c].astype(float) for a, b, c in zip(slots, slots[1:], slots[2:], strict=False))
+    assert np.allclose(langid.vector(text), want)
+    long = "ab c" * 600_000
+    assert langid.gram_counts(long).sum() == langid.gram_counts("ab c" * 2).sum() + (600_000 - 2) * 4
+
+
+def test_bpe_equals_the_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = bpe.default_path()
+    lib = tokenizers.Tokenizer.from_file(path)
+    lib.no_truncation()
+    lib.no_padding()
+    rng = random.Random(11)
+    pool = ["a", "B", "É", "e\u0301", "Σ", "İ", "\x1c", "\x85", "\xa0", "\u200b", "'s", "'LL", "12", "½", "中文", "😀", "<|endoftext|>", "<|END", "%%%", "\n", "ß", "ﬁ", "\x00", "_"]
+    texts = [None, "", " ", "The quick brown fox's 3 jumps!", "x" * 3000, *["".join(rng.choice(pool) for _ in range(rng.randrange(15))) for _ in range(2000)]]
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
+    got = {r["doc_id"]: r for r in bpe.encode_documents(df, with_ids=True).collect()}
+    back = {r["doc_id"]: r["decoded"] for r in bpe.decode_ids(bpe.encode_documents(df, with_ids=True)).collect()}
+    for i, t in enumerate(texts):
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        decoded = lib.decode(ids, skip_special_tokens=False)
+        assert got[i]["ids"] == ids and back[i] == decoded
+        assert got[i]["n_tokens"] == len(ids) and got[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+        assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_bpe_merges_by_rank():
+    ranks = {(0, 1): (1, 10), (1, 2): (0, 11), (0, 11): (2, 12), (0, 0): (3, 13)}
+
+    def slow(s):
+        s = list(s)
+        while True:
+            found = min(((ranks[p][0], i) for i, p in enumerate(zip(s, s[1:], strict=False)) if p in ranks), default=None)
+            if found is None:
+                return s
+            i = found[1]
+            s[i : i + 2] = [ranks[s[i], s[i + 1]][1]]
+
+    rng = random.Random(1)
+    for _ in range(500):
+        s = [rng.randrange(3) for _ in range(rng.randrange(1, 12))]
+        assert bpe.merge_word(s, ranks) == slow(s)
+
+
+def test_block_max_index_is_exact():
+    rng = random.Random(13)
+    rows = [{t: rng.random() for t in rng.sample(range(30), rng.randrange(0, 6))} for _ in range(300)] + [{1: 0.5}] * 5
+    index = toxicity.BlockMaxIndex(rows, block=16)
+    for _ in range(200):
+        q = {t: rng.random() for t in rng.sample(range(33), rng.randrange(1, 5))}
+        scored = sorted(((sum(w * row.get(t, 0) for t, w in q.items()), i) for i, row in enumerate(rows)), key=lambda x: (-round(x[0], 9), x[1]))
+        want = [(pytest.approx(s), i) for s, i in scored[:7] if s > 0]
+        got = index.nearest(q, 7)
+        assert [s for s, _ in got] == [s for s, _ in want] and {i for _, i in got[:3]} == {i for _, i in want[:3]}
+
+
+def test_toxicity(spark):
+    rng = random.Random(17)
+    bad, plain = ["vile", "scummy", "wretch"], [f"p{c}{d}" for c in "abcdefgh" for d in "xyz"]
+
+    def text(toxic):
+        w = [rng.choice(plain) for _ in range(30)]
+        if toxic:
+            w[rng.randrange(30)] = rng.choice(bad) + "."
+        return " ".join(w)
+
+    rows = [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.where("doc_id < 320").select("doc_id", "toxic"), df, positives=200, negatives=300, chi2=20.0)
+    got = {r["doc_id"]: r for r in toxicity.score_documents(df, model, {"doc_id": "long"}).collect()}
+    assert sum(got[i]["predicted"] == y for i, _, y in rows if i >= 320) >= 78
+    assert any(e["label"] == 1 for e in got[320]["evidence"])
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "??"), (3, "??")], "doc_id long, text string").withColumn("score", F.lit("x"))
+    assert {(r["predicted"], 0 <= r["score"] <= 1) for r in toxicity.score_documents(odd, model, {"doc_id": "long"}).collect()} == {(0, True)}
+    none = toxicity.fit(df.limit(0), df)
+    assert {r["predicted"] for r in toxicity.score_documents(df, none, {"doc_id": "long"}).collect()} == {0}
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(x) for x in rng.normal(size=8)], 1) for i in range(400)]
+    rows += [(1000, None, 1), (1001, [1.0, None] + [0.0] * 6, 1), (1002, [float("nan")] * 8, 1), (1003, [float("inf")] + [0.0] * 7, 1), (None, [1.0] * 8, 1), (1100, [1.0, 2.0], 1), (1200, [2.0, 1.0], 1), (7, rows[7][1], 1), (500, rows[8][1], 1), (600, [0.0] * 8, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
+    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, k=5, pivots=6, pivot_sample=50).collect()]
+    ints = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = []
+    for i, q in {(i, tuple(v)) for i, v in ints if i % 100 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in ints if j != i and len(v) == len(q))[:5]
+        want += [(i, r, j, -s) for r, (s, j) in enumerate(scored, 1)]
+    assert sorted(got) == sorted(want)
+    assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+    assert topk.top_k(df, F.lit(False)).count() == 0
+
+
+def test_pivots_spare_products():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 16)) * 4000
+    x = (np.repeat(centres, 100, 0) + rng.normal(size=(2000, 16)) * 40).astype(np.int64)
+    pivots = topk.choose_pivots(x, 24)
+    ids = np.arange(2000)
+    _, _, scores, taken = topk.search_block(ids, x, np.array([-1]), x[:1], pivots, 10, step=64)
+    assert scores == sorted((x @ x[0]).tolist(), reverse=True)[:10] and taken < 1000
+    big = x * (1 << 30)
+    assert topk.search_block(ids, big, np.array([-1]), big[:1], pivots, 3)[2] == sorted([int(v) for v in (big.astype(object) @ big[0].astype(object))], reverse=True)[:3]
