@@ -2,6 +2,8 @@
 
 Models run in Arrow batches, loaded once per worker. The stand-ins are clearly no real models: they
 give fixed functions of the text, so that plans can be run and checked without any download.
+The columns are marked as not deterministic, so that no plan copies a model call into expressions above it. Inputs should be stored columns: Spark does not pull a
+Python function out of a plan if its argument holds a lambda that uses another lambda's variable.
 """
 
 from __future__ import annotations
@@ -137,7 +139,7 @@ def embed(c: Column, make: Callable[[], Embedder]) -> Column:
         for texts in batches:
             yield pd.Series(list(np.asarray(model.embed([t or "" for t in texts]), float)))
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def embed_tokens(c: Column, make: Callable[[], TokenEmbedder]) -> Column:
@@ -151,7 +153,7 @@ def embed_tokens(c: Column, make: Callable[[], TokenEmbedder]) -> Column:
             vectors, tokens = model.embed_tokens([t or "" for t in texts])
             yield pd.DataFrame({"tokens": tokens, "vectors": [[list(map(float, v)) for v in m] for m in vectors]})
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def embed_list(c: Column, make: Callable[[], Embedder]) -> Column:
@@ -165,7 +167,7 @@ def embed_list(c: Column, make: Callable[[], Embedder]) -> Column:
             made = dict(zip(texts, np.asarray(model.embed(texts), float), strict=True)) if texts else {}
             yield pd.Series([None if x is None else [made[t].tolist() for t in x] for x in lists])
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def pair_distance(a: Column, b: Column, make: Callable[[], PairScorer], as_distance: bool = True) -> Column:
@@ -178,7 +180,7 @@ def pair_distance(a: Column, b: Column, make: Callable[[], PairScorer], as_dista
             scores = np.asarray(model.score(list(zip(x.fillna(""), y.fillna(""), strict=True))), float)
             yield pd.Series(-scores if as_distance else scores)
 
-    return run(a, b)
+    return run.asNondeterministic()(a, b)
 
 
 def score_texts(c: Column, make: Callable[[], Scorer]) -> Column:
@@ -194,7 +196,7 @@ def score_texts(c: Column, make: Callable[[], Scorer]) -> Column:
             out = pd.DataFrame(made, index=order).sort_index()
             yield out.astype({k: float for k in out.columns if k != "n"}).astype({"n": "int64"})
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def non_english(c: Column, make: Callable[[], LanguageId] = StopwordLanguageId, threshold: float = 0.95) -> Column:
@@ -206,7 +208,7 @@ def non_english(c: Column, make: Callable[[], LanguageId] = StopwordLanguageId,
         for texts in batches:
             yield pd.Series([not (t and t.strip() and model.probability(t, "en") >= threshold) for t in texts])
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def transport_cost(a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> float:
@@ -286,13 +288,13 @@ def mover_distance(source: Column, edit: Column, source_weights: Column | None =
         def plain(x: pd.Series, y: pd.Series) -> pd.Series:
             return pd.Series([one(a, b, None, None) for a, b in zip(x, y, strict=True)])
 
-        return plain(source, edit)
+        return plain.asNondeterministic()(source, edit)
 
     @F.pandas_udf(T.DoubleType())
     def weighted(x: pd.Series, y: pd.Series, p: pd.Series, q: pd.Series) -> pd.Series:
         return pd.Series([one(*row) for row in zip(x, y, p, q, strict=True)])
 
-    return weighted(source, edit, source_weights, edit_weights)
+    return weighted.asNondeterministic()(source, edit, source_weights, edit_weights)
 
 
 def generate(df: DataFrame, messages: str, make: Callable[[], Generator], eligible: Column, out: str) -> DataFrame:
@@ -311,5 +313,5 @@ def generate(df: DataFrame, messages: str, make: Callable[[], Generator], eligib
                 text[i], error[i] = ("" if failed else t), (e or "empty response") if failed else None
             yield pd.DataFrame({"text": text, "error": error})
 
-    made = df.withColumn("_g", run(F.col(messages), eligible))
+    made = df.withColumn("_g", run.asNondeterministic()(F.col(messages), eligible))
     return made.withColumn(out, F.col("_g.text")).withColumn(f"{out}_error", F.col("_g.error")).drop("_g")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import buckets, clean, distance, flags, lm, vectors
-from ..functions.text import let, transliterate, words
+from ..functions.text import transliterate, words
 from ..operators import aggregate, conditions, evaluate, joins, models, prompts, rank
 from ..sources import shards
 from . import stages
@@ -564,8 +565,8 @@ def v7_cosine_chunks(spark, sf_dir):
 
 @query()
 def v8_soft_phrases(spark, sf_dir):
-    p = conv_pairs(spark, sf_dir)
-    made = p.select("row_id", models.embed_list(distance.window_chunks("original", 6, 6), models.HashEmbedder).alias("a"), models.embed_list(distance.window_chunks("final_response", 6, 6), models.HashEmbedder).alias("b"))
+    p = conv_pairs(spark, sf_dir).select("row_id", distance.window_chunks("original", 6, 6).alias("x"), distance.window_chunks("final_response", 6, 6).alias("y")).persist(StorageLevel.DISK_ONLY)
+    made = p.select("row_id", models.embed_list(F.col("x"), models.HashEmbedder).alias("a"), models.embed_list(F.col("y"), models.HashEmbedder).alias("b"))
     return made.select("row_id", r6(vectors.soft_phrase_distance("a", "b", 0.5)).alias("d"))
 
 
@@ -769,5 +770,3 @@ def s4_analysis_stage(spark, sf_dir):
     out = stages.analysis_stage(s, [{"name": "chars", "columns": [("human_score", False), ("ai_score", True)]}, {"name": "absent", "columns": [("nope", True)]}], subsets={"Lang": F.col("lang")})
     return out.select("classifier", "subset", "n", *[r6(c).alias(c) for c in ("tpr_at_fpr_1pct", "tpr_at_fpr_0_1pct")])
 
-
-__all__ = ["ORACLES", "QUERIES", "let"]

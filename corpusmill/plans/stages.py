@@ -109,13 +109,16 @@ def distance_stage(df: DataFrame, a: str = "original", b: str = "final_response"
     from ..operators.aggregate import idf
 
     have = set(out.columns)
-    made = out.withColumns({"_va": models.embed(as_text(a), embedder), "_vb": models.embed(as_text(b), embedder), "_ta": models.embed_tokens(as_text(a), embedder), "_tb": models.embed_tokens(as_text(b), embedder)})
+    # Model outputs are read several times below: each model runs once, its columns stay on the executors' disks.
+    ready = out.withColumns({"_fa": distance.phrases(a), "_fb": distance.phrases(b)}).persist(StorageLevel.DISK_ONLY)
+    made = ready.withColumns(
+        {"_va": models.embed(as_text(a), embedder), "_vb": models.embed(as_text(b), embedder), "_ta": models.embed_tokens(as_text(a), embedder), "_tb": models.embed_tokens(as_text(b), embedder), "_pa": models.embed_list(F.col("_fa"), embedder), "_pb": models.embed_list(F.col("_fb"), embedder)}
+    ).persist(StorageLevel.DISK_ONLY)
     made = made.withColumn("_chunk", F.floor(F.col(row) / chunk) if chunk else F.lit(0))
     for side in ("a", "b"):
         per = idf(made.select("_chunk", F.col(f"_t{side}.tokens").alias("tokens")), "tokens", ["_chunk"])
         maps = per.groupBy("_chunk").agg(F.map_from_entries(F.collect_list(F.struct("token", "idf"))).alias(f"_idf{side}"))
         made = made.join(maps, "_chunk", "left").withColumn(f"_w{side}", idf_weights(f"_t{side}.tokens", F.coalesce(f"_idf{side}", F.create_map().cast("map<string,double>"))))
-    made = made.withColumns({"_pa": models.embed_list(distance.phrases(a), embedder), "_pb": models.embed_list(distance.phrases(b), embedder)})
     made = made.withColumns({"_bert": bert_score("_ta.vectors", "_tb.vectors", F.col("_wa"), F.col("_wb")), "_mover": models.mover_distance(F.col("_ta.vectors"), F.col("_tb.vectors"), F.col("_wa"), F.col("_wb"))})
     new = {"cosdist": cosine_distance("_va", "_vb"), "softngram": soft_phrase_distance("_pa", "_pb"), "bertscore_precision": F.col("_bert.precision"), "bertscore_recall": F.col("_bert.recall"), "bertscore": F.col("_bert.f1"), "moverscore": F.col("_mover")}
     added = cond.with_missing(made, new, together=[("bertscore_precision", "bertscore_recall", "bertscore")])
