@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Entries kept by each memo of a worker.
 MEMO = 200_000
 
@@ -194,7 +196,7 @@ def _encode(path: str, with_ids: bool):
 def encode_documents(docs: DataFrame, path: str | None = None, id_cols: dict[str, str] | None = None, text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Per row: `id_cols` (name to type), n_tokens, ids_sha256, decoded_sha256, and ids if asked for. One pass, no shuffle."""
     id_cols = id_cols or {"doc_id": "long"}
-    rows = docs.select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in id_cols.items()) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return rows.mapInArrow(_encode(path or default_path(), with_ids), schema)
 

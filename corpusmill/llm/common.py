@@ -58,6 +58,18 @@ def forget(*tables: DataFrame | None) -> None:
             where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Rows of an Arrow batch: texts are long, and a batch stands in memory several times over.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bounds the session's Arrow batches, before a plan that hands texts to Python; returns its input."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key, "10000")) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,7 +80,7 @@ def documents_keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Where ids repeat, a fingerprint `fp` of the text joins the key, so rows of one id but
     different texts stay apart; equal rows share a key and get equal results.
     """
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    base = small_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     if docs.select(F.col(id_col)).groupBy(id_col).count().where("count > 1").limit(1).count():
         return base.withColumn("fp", F.xxhash64("text")), ["k", "fp"]
     return base, ["k"]

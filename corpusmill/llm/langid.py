@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled_ids
+from .common import sampled_ids, small_batches
 
 SLOTS, DIM, GRAM = 40, 512, 3
 PIECE = 1 << 20
@@ -134,6 +134,6 @@ def _predict(langs: list[str], profile: np.ndarray):
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_cols: dict[str, str], text_col: str = "text") -> DataFrame:
     """Per row: `id_cols` (name to type; carried along unseen), lang_pred, score. One pass, no shuffle."""
-    rows = docs.select(*id_cols, F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs).select(*id_cols, F.col(text_col).cast("string").alias("text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in id_cols.items())
     return rows.mapInArrow(_predict(*model), f"{schema}, lang_pred string, score double")

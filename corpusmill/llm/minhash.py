@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BASE_A, NO_ID, U64, binary_parts, chunk_words, cut, mix, range_hash, shared_table, signed
+from .common import BASE_A, NO_ID, U64, binary_parts, chunk_words, cut, mix, range_hash, shared_table, signed, small_batches
 from .components import connected_components
 
 
@@ -195,7 +195,7 @@ def _pairs_left(rest: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bins: int = 240, rows: int = 6, rounds: int = 1) -> DataFrame:
     """One row per input row: `id_col`, n_shingles, component_id, kept (its id is the component's)."""
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    keyed = small_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = "k long, n long, h1 long, h2 long, bands array<long>"
     profile = shared_table(keyed.select("k", F.col("text").cast("binary").alias("text")).mapInArrow(_profile(width, bins, rows), schema), "minhash-profile")
     known = profile.where((F.col("n") > 0) & (F.col("k") != NO_ID))
@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = shared_table(keyed.join(members.select(F.col("rep").alias("k")).distinct(), "k", "left_semi"), "minhash-texts")
 
     # Rows of one id with different texts are one node.
-    reps = known.groupBy("h1", "h2").agg(F.min("k").alias("rep"))
+    # (A stored table: a class of many copies is then a skewed join that can be split.)
+    reps = cut(known.groupBy("h1", "h2").agg(F.min("k").alias("rep")))
     owned = known.select("k", "h1", "h2").join(reps, ["h1", "h2"])
     several = owned.groupBy("k").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi").select("k")
     links = owned.join(several, "k", "left_semi").select(F.col("rep").alias("a"), F.col("k").alias("b"))

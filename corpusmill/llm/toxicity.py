@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled_ids
+from .common import sampled_ids, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 DEAD_MOST = 300_000
@@ -236,6 +236,6 @@ def _score(model: ToxicityModel, evidence: int):
 
 def score_documents(docs: DataFrame, model: ToxicityModel, id_cols: dict[str, str], text_col: str = "text", evidence: int = 5) -> DataFrame:
     """Per row: `id_cols` (name to type; carried along unseen), score, predicted, evidence. One pass, no shuffle."""
-    rows = docs.select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in id_cols.items())
     return rows.mapInArrow(_score(model, evidence), f"{schema}, score double, predicted int, evidence array<struct<example:long,similarity:double,label:int>>")
