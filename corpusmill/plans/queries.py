@@ -739,6 +739,75 @@ def p11_messages(spark, sf_dir):
     return made.select("row_id", F.size("m").cast("long").alias("messages"), F.element_at("m", -1)["content"].alias("last"))
 
 
+# Operators that other queries use as parts
+
+
+@query("SELECT d.doc_id, d.n_chars, l.quality FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
+def j1_by_position(spark, sf_dir):
+    return joins.by_position(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+
+
+@query("SELECT doc_id, text, NULL AS lang FROM documents UNION ALL SELECT item_id, text, 'item' FROM benchmark")
+def u1_union_all(spark, sf_dir):
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text", F.lit("item").alias("lang"))
+    return joins.union_all(read(spark, sf_dir, "documents").select("doc_id", "text"), items)
+
+
+@query(f"SELECT DISTINCT gram AS phrase FROM {GRAM2_SQL}")
+def u5_distinct_phrases(spark, sf_dir):
+    return aggregate.global_ngrams(read(spark, sf_dir, "documents"), "text", 2).select(F.col("gram").alias("phrase"))
+
+
+@query("SELECT o_orderkey, o_totalprice, o_custkey FROM orders")
+def b3_checked_select(spark, sf_dir):
+    return conditions.checked_select(read(spark, sf_dir, "orders"), ["o_orderkey", "o_totalprice", "o_orderkey", "o_custkey"])
+
+
+@query("SELECT doc_id, n_chars, length(text) AS n_code_points, lang || '/' || source AS place FROM documents")
+def b9_skip_present(spark, sf_dir):
+    have = read(spark, sf_dir, "documents").select("doc_id", "n_chars", "text", "lang", "source")
+    made = {"n_chars": F.lit(-1), "n_code_points": F.char_length("text").cast("long"), "place": F.concat("lang", F.lit("/"), "source")}
+    return conditions.with_missing(have, made).select("doc_id", "n_chars", "n_code_points", "place")
+
+
+@query(f"SELECT sum(invalid)::BIGINT AS invalid FROM ({' UNION ALL '.join(f'SELECT count(*) - count(*) FILTER (isfinite({c})) AS invalid FROM {STATS_SQL}' for c in ('quantity', 'price', 'discount', 'tax'))})")
+def g15_invalid_total(spark, sf_dir):
+    return aggregate.invalid_total(aggregate.describe(_stats(spark, sf_dir), ["quantity", "price", "discount", "tax"], exact=False))
+
+
+@query(f"SELECT round(avg(discount) FILTER (isfinite(discount)), 6) AS discount, round(avg(tax) FILTER (isfinite(tax)), 6) AS tax FROM {STATS_SQL}")
+def g6_finite_mean(spark, sf_dir):
+    return _stats(spark, sf_dir).agg(*[r6(aggregate.finite_mean(F.col(c))).alias(c) for c in ("discount", "tax")])
+
+
+@query(f"SELECT row_id, final_response <> '' AND contains(original, final_response) AS is_subset, original <> '' AND contains(final_response, original) AS holds FROM {CHANGED_SQL}")
+def h27_strict_subset(spark, sf_dir):
+    return changed_pairs(spark, sf_dir).select("row_id", flags.is_strict_subset("original", "final_response").alias("is_subset"), flags.is_strict_subset("final_response", "original").alias("holds"))
+
+
+@query(f"""SELECT source, CAST(row_number() OVER (ORDER BY a ASC NULLS LAST, b ASC NULLS LAST, source) AS INTEGER) AS rank FROM (
+    SELECT source, CASE WHEN source < 'c' THEN NULL ELSE round(avg(value), 6) END AS a, max(distance) AS b FROM {SCORES_SQL} GROUP BY 1)""")
+def t2_prompt_order(spark, sf_dir):
+    per = scores(spark, sf_dir).groupBy("source").agg(F.when(F.col("source") < "c", F.lit(float("nan"))).otherwise(r6(F.avg("value"))).alias("tpr_at_fpr_1pct"), F.max("distance").alias("tpr_at_fpr_0_1pct"))
+    known = F.when(F.isnan("tpr_at_fpr_1pct"), F.lit(None)).otherwise(F.col("tpr_at_fpr_1pct"))
+    return rank.ranked(evaluate.prompt_order(per, "source"), known.asc_nulls_last(), F.col("tpr_at_fpr_0_1pct").asc_nulls_last(), F.col("source")).select("source", "rank")
+
+
+@query(f"""SELECT (SELECT {AUROC_SQL} FROM (SELECT *, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0 AS r FROM {SCORES_SQL})) AS auroc, """ + ", ".join(f"(SELECT round(coalesce(count(*) FILTER (is_ai AND value > {p})::DOUBLE / nullif(count(*) FILTER (is_ai), 0), 0), 6) FROM {SCORES_SQL}) AS tpr_at_{n}" for n, p in REPORT_POINTS.items()))
+def e6_detector_metrics(spark, sf_dir):
+    out = evaluate.report(scores(spark, sf_dir).withColumns({"classifier": F.lit("a"), "every": F.lit("all")}), ["classifier"], "every")
+    return out.select(r6("auroc").alias("auroc"), *[r6(f"tpr_at_{b}").alias(f"tpr_at_{b}") for b in evaluate.BUDGETS])
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'train a' WHEN 1 THEN 'train b' ELSE 'train c' END AS train_turn, 'test d' AS test_turn FROM documents")
+def p10_train_and_test_prompts(spark, sf_dir):
+    cursor = prompts.PromptCursor(prompts.prompt_table(spark, prompts.prompts_of([["train a"], ["train b"], ["train c"], ["test d"]])))
+    cursor.split_test(0.25)
+    docs = read(spark, sf_dir, "documents").select("doc_id")
+    first = lambda part, name: cursor.take(docs, 0, part, "doc_id").select("doc_id", F.get("chat_turns", F.lit(0)).alias(name))
+    return first("train", "train_turn").join(first("test", "test_turn"), "doc_id")
+
+
 # Stages
 
 
