@@ -97,8 +97,10 @@ def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarra
             if at >= len(order):
                 if whole:
                     break
-                order, whole = np.argsort(-bound, kind="stable"), True
-                at = first
+                rest = np.ones(len(x), bool)  # what `part` left out: where bounds tie, it is not a prefix of the whole order
+                rest[part] = False
+                rest = np.flatnonzero(rest)
+                order, whole = np.concatenate([part, rest[np.argsort(-bound[rest], kind="stable")]]), True
                 continue
             chunk = order[at : at + step]
             chunk = chunk[bound[chunk] > -np.inf]
