@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import message_lines
-from ..functions.text import ngrams
+from ..functions.text import let, ngrams, word_count, words
 
 NAN = float("nan")
 
@@ -30,6 +32,33 @@ def text_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return df.select(key, F.explode(ngrams(text, n)).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
+def unigram_sums(df: DataFrame, text: str, out: str, hot: int = 1000) -> DataFrame:
+    """Adds struct(n, lp, entropy, variance): sums of the unigram model of all words of `text`, over every word but a text's first.
+
+    The model stays a table and is joined to the words of each row, counted per row before. Only the fewer than
+    `hot` words with more than 1/hot of all occurrences are broadcast, so no key of the other join has more rows than that.
+    As in models.UnigramScorer, one more occurrence stands for unknown words.
+    """
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    model = global_ngrams(rows, text, 1).persist(StorageLevel.DISK_ONLY)
+    log = F.log(F.col("n").cast("double"))
+    sums = model.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.coalesce(F.sum(F.col("n") * x), F.lit(0.0)).alias(k) for k, x in (("x", log), ("xx", log * log))]).first()
+    total = sums["n"] + 1
+    unknown = -math.log(total)
+    mean = (sums["x"] + unknown * sums["n"] + unknown) / total
+    square = (sums["xx"] + 2 * unknown * sums["x"] + unknown**2 * sums["n"] + unknown**2) / total
+    entropy, variance = -mean, max(0.0, square - mean**2)
+
+    frequent = F.col("n") * hot > sums["n"]
+    counted = rows.select("_row", F.explode(let(words(text), lambda w: F.slice(w, 2, F.size(w)))).alias("gram")).groupBy("_row", "gram").agg(F.count(F.lit(1)).alias("c"))
+    marked = counted.join(F.broadcast(model.where(frequent)), "gram", "left")
+    rest = marked.where("n IS NULL").drop("n").join(model.where(~frequent), "gram")
+    lp = marked.where("n IS NOT NULL").unionByName(rest).groupBy("_row").agg(F.sum(F.col("c") * (log + unknown)).alias("_lp"))
+    n = F.greatest(word_count(text) - 1, F.lit(0)).cast("long")
+    made = F.struct(n.alias("n"), F.coalesce("_lp", F.lit(0.0)).alias("lp"), (n * entropy).alias("entropy"), (n * variance).alias("variance"))
+    return rows.join(lp, "_row", "left").withColumn(out, made).drop("_row", "_lp")
+
+
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Per column: n (all rows), mean, median, std (population), min, max over finite values, and invalid. One pass."""
     aggs = []

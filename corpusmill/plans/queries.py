@@ -586,10 +586,7 @@ def l2_lm_statistics(spark, sf_dir):
 
 @query()
 def l1_unigram_sums(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    # The model's vocabulary is its parameter: the 2,000 most frequent words.
-    counts = {r["gram"]: r["n"] for r in aggregate.global_ngrams(docs, "text", 1).orderBy(F.desc("n"), "gram").limit(2000).collect()}
-    out = docs.select("doc_id", models.score_texts(F.col("text"), lambda: models.UnigramScorer(counts)).alias("s"))
+    out = aggregate.unigram_sums(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", "s")
     return out.select("doc_id", "s.n", r6("s.lp").alias("lp"), r6(lm.curvature("s")).alias("fastdetect"))
 
 
