@@ -64,8 +64,13 @@ class HashEmbedder:
 
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim))
+        known: dict[str, np.ndarray] = {}
         for i, t in enumerate(texts):
-            v = sum((self.word(w) for w in (t or "").split()), np.zeros(self.dim))
+            v = np.zeros(self.dim)
+            for w in (t or "").split():
+                if w not in known:
+                    known[w] = self.word(w)
+                v += known[w]
             size = np.linalg.norm(v)
             out[i] = v / size if size else 0.0
         return out
@@ -170,6 +175,40 @@ def embed_list(c: Column, make: Callable[[], Embedder]) -> Column:
     return run.asNondeterministic()(c)
 
 
+def phrases_of(text: str | None, shortest: int = 6, longest: int = 12) -> list[str]:
+    """distance.phrases of one text."""
+    w = (text or "").split()
+    return [" ".join(w[i : i + n]) for n in range(min(len(w), shortest), min(len(w), longest) + 1) for i in range(len(w) - n + 1)] if w else []
+
+
+def soft_phrase_distance(a: Column, b: Column, make: Callable[[], Embedder], threshold: float = 0.8, rows: int = 100, cells: int = 1 << 22) -> Column:
+    """vectors.soft_phrase_distance over all phrases of two texts; `rows` pairs embed each distinct phrase once, products go in blocks of `cells`."""
+
+    @F.pandas_udf(T.DoubleType())
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        model = make()
+        for x, y in batches:
+            out = []
+            for at in range(0, len(x), rows):
+                pairs = [(Counter(phrases_of(s)), Counter(phrases_of(t))) for s, t in zip(x.iloc[at : at + rows], y.iloc[at : at + rows], strict=True)]
+                index = {p: i for i, p in enumerate(dict.fromkeys(p for pair in pairs for side in pair for p in side))}
+                made = np.asarray(model.embed(list(index)), float) if index else None
+                for source, edit in pairs:
+                    if not source or not edit:
+                        out.append(1.0)
+                        continue
+                    u, v = made[[index[p] for p in source]], made[[index[p] for p in edit]]
+                    hit = np.zeros(len(v), bool)
+                    step = max(1, cells // len(v))
+                    for i in range(0, len(u), step):
+                        hit |= (u[i : i + step] @ v.T >= threshold).any(0)
+                    n = np.fromiter(edit.values(), int, len(edit))
+                    out.append(1 - int(n[hit].sum()) / int(n.sum()))
+            yield pd.Series(out, dtype=float)
+
+    return run.asNondeterministic()(a, b)
+
+
 def pair_distance(a: Column, b: Column, make: Callable[[], PairScorer], as_distance: bool = True) -> Column:
     """Cross-encoder scores of text pairs, negated as a distance."""
 

@@ -565,9 +565,7 @@ def v7_cosine_chunks(spark, sf_dir):
 
 @query()
 def v8_soft_phrases(spark, sf_dir):
-    p = conv_pairs(spark, sf_dir).select("row_id", distance.window_chunks("original", 6, 6).alias("x"), distance.window_chunks("final_response", 6, 6).alias("y")).persist(StorageLevel.DISK_ONLY)
-    made = p.select("row_id", models.embed_list(F.col("x"), models.HashEmbedder).alias("a"), models.embed_list(F.col("y"), models.HashEmbedder).alias("b"))
-    return made.select("row_id", r6(vectors.soft_phrase_distance("a", "b", 0.5)).alias("d"))
+    return conv_pairs(spark, sf_dir).select("row_id", r6(models.soft_phrase_distance(F.col("original"), F.col("final_response"), models.HashEmbedder)).alias("d"))
 
 
 SUMS_SQL = "(SELECT event_id, n, -value * n / 40 AS lp, value * n / 50 AS entropy, CASE WHEN event_id % 11 = 0 THEN 0.0 ELSE value * n / 70 + 0.25 END AS variance, floor(n / 5)::DOUBLE AS topp, floor(n / 7)::DOUBLE AS topk, CASE WHEN event_id % 13 = 0 THEN 0.0 ELSE value * n / 30 + 0.5 END AS ce FROM (SELECT event_id, abs(value) AS value, event_id % 60 AS n FROM events))"
