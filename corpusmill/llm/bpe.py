@@ -10,8 +10,10 @@ is normalised (NFC, white space, lower case), split into words, and each word is
 byte alphabet with the end-of-word suffix on its last symbol. Encodings of words and of
 space-separated pieces are memoised up to a fixed number of entries per worker, then afresh.
 
-Defined cases: null or empty text: no ids. Vocabulary files are read by path and never copied;
-each worker loads the file once.
+Defined cases: null or empty text: no ids. Empty table: no rows. Repeated rows are encoded each, alike;
+pairs of equal rank are merged from the left. Very long texts are encoded whole, word by word; the ids
+stand once in memory. Columns not named in `id_cols` are ignored, whatever their names. Vocabulary
+files are read by path and never copied; each worker loads the file once.
 """
 
 from __future__ import annotations
@@ -28,8 +30,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
-
 #: Entries kept by each memo of a worker.
 MEMO = 200_000
 
@@ -148,7 +148,7 @@ class WordBpe:
 
     def encode(self, text: str) -> array:
         out = array("I")
-        if self.cut is not None and "<|" in text:
+        if any(t in text for t in self.special):
             for part in self.cut.split(text):
                 if part in self.special:
                     out.append(self.special[part])
@@ -196,7 +196,7 @@ def _encode(path: str, with_ids: bool):
 def encode_documents(docs: DataFrame, path: str | None = None, id_cols: dict[str, str] | None = None, text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Per row: `id_cols` (name to type), n_tokens, ids_sha256, decoded_sha256, and ids if asked for. One pass, no shuffle."""
     id_cols = id_cols or {"doc_id": "long"}
-    rows = small_batches(docs).select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in id_cols.items()) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return rows.mapInArrow(_encode(path or default_path(), with_ids), schema)
 

@@ -14,7 +14,10 @@ Output per conversation: `formatted`, `segments` (text, loss, role; their texts
 `first_error`. `parse` reads roles and texts back from `formatted` alone.
 
 Defined cases: null text or role: empty. Turns are ordered by (turn, role, text), null turns first;
-repeated rows are turns of their own. Rows with a null conversation id are one conversation.
+repeated rows are turns of their own. Rows with a null conversation id are one conversation. Extra
+columns are ignored; no rows give no conversations. A conversation is one output row, so its turns
+meet in one task and one array: some 2 GB of text is the most that a conversation can hold, and rows
+without an id should be given ids first where they are many.
 """
 
 from __future__ import annotations

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import small_batches
+from .common import slices
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -368,7 +368,7 @@ def _inside(marked: Nodes, at: int) -> list[bool]:
 
 def _extract(model: Extractor):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             pages = batch.column("html").to_pylist()
             texts: list[str] = []
             group, size = [], 0
@@ -386,7 +386,7 @@ def _extract(model: Extractor):
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: Extractor | None = None) -> DataFrame:
     """Per row: id, url, text (blocks joined by a line feed). One pass, no shuffle."""
-    rows = small_batches(pages).select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     kind = rows.schema["page"].dataType.simpleString()
     out = rows.mapInArrow(_extract(model or default_extractor()), f"page {kind}, url string, text string")
     return out.select(F.col("page").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))

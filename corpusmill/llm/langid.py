@@ -1,17 +1,22 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter slot has a random vector of +1 and -1. A letter n-gram binds (multiplies) its letters'
-vectors, each permuted by its place in the n-gram; a text bundles (adds) its n-gram vectors. The
-prototype of a language bundles the unit vectors of its training texts; a text gets the language
-whose prototype has the largest cosine with its vector.
-
-Slots: word boundary, a-z, and SLOTS - 27 slots that the other letters share by code point.
-N-grams are counted first, so a text costs one pass plus a product over its distinct n-grams.
-
-Training takes at most `per_language` texts of each language (default 1,500), those of least hash;
-the split columns never reach the prediction. Text is read whole, in pieces of bounded size.
-
-Defined cases: null text, or no letters: `und` with score 0. No training texts: all `und`.
+Every letter has a random vector of +1 and -1 of its own, drawn from its code point; so has the word
+boundary. A letter n-gram binds (multiplies) its letters' vectors, each permuted by its place in the
+n-gram; a text bundles (adds) the vectors of its n-grams, which lie within words and their
+boundaries. The prototype of a language bundles the unit vectors of its training texts; a text gets
+the language whose prototype has the largest cosine with its vector.
+
+N-grams are counted first, so a text costs one pass plus a product over its distinct n-grams, whose
+bound vectors a worker keeps (BANK of them).
+
+Training takes about `per_language` distinct texts of each language (default 1,500; all where there
+are fewer): those whose text hash falls below the language's share, so ids play no part and copies
+count once. Unit vectors are added as integers, so the prototypes do not depend on the order.
+
+Defined cases: null text, or no letters: `und` with score 0. No training texts: all `und`. Ties of
+cosine (to 9 digits) go to the language that sorts first. Repeated rows get equal results. Text is
+read whole, in pieces of bounded size. Columns other than `id_cols` and the text are ignored,
+whatever their names. Empty table: no rows. A label column with over 4,096 values is an error.
 """
 
 from __future__ import annotations
@@ -24,96 +29,113 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled_ids, small_batches
+from .common import class_shares, in_sample, slices
 
-SLOTS, DIM, GRAM = 40, 512, 3
-PIECE = 1 << 20
-PROTOTYPES = "lang string, total array<double>, texts long"
+DIM, GRAM = 1024, 3
+PIECE = 1 << 19
+#: Bound vectors kept by a worker, and those of one text handled at once.
+BANK, TAKE = 1 << 15, 1 << 13
+#: Unit vectors are rounded to multiples of 1 / UNIT.
+UNIT = 1 << 24
+PROTOTYPES = "lang string, total array<long>"
 
 
 @functools.lru_cache(maxsize=1)
-def slot_table() -> np.ndarray:
-    """Slot of every code point; 0 for what is no letter."""
-    out = np.zeros(0x110000, np.uint8)
-    letters = np.array([c for c in range(0x30000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()])
-    out[letters] = 27 + letters % (SLOTS - 27)
-    for i in range(26):
-        out[97 + i] = out[65 + i] = 1 + i
+def letter_table() -> np.ndarray:
+    """Which code points are letters."""
+    return np.array([not 0xD800 <= c < 0xE000 and chr(c).isalpha() for c in range(0x110000)])
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def letter_vector(code: int) -> np.ndarray:
+    """The random vector of a letter (0: the word boundary)."""
+    bits = np.random.Generator(np.random.Philox(key=[613, code])).integers(0, 2, DIM, np.int8)
+    return bits * np.int8(2) - np.int8(1)
+
+
+def bound_vector(gram: tuple[int, int, int]) -> np.ndarray:
+    """rho(rho(first) * second) * third."""
+    out = letter_vector(gram[0])
+    for code in gram[1:]:
+        out = np.roll(out, 1) * letter_vector(code)
     return out
 
 
+class Bank:
+    """Bound vectors of n-grams met before."""
+
+    def __init__(self):
+        self.place: dict[int, int] = {}
+        self.rows = np.empty((BANK, DIM), np.int8)
+
+    def take(self, keys: np.ndarray) -> np.ndarray:
+        """The vectors of at most TAKE packed n-grams."""
+        place, names = self.place, keys.tolist()
+        if len(place) + len(names) > BANK:
+            place.clear()
+        for key in names:
+            if key not in place:
+                i = place[key] = len(place)
+                self.rows[i] = bound_vector((key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF))
+        return self.rows[[place[key] for key in names]]
+
+
 @functools.lru_cache(maxsize=1)
-def gram_vectors() -> np.ndarray:
-    """The bound vector of every n-gram of slots, as int8."""
-    rng = np.random.default_rng(613)
-    item = rng.choice(np.array([-1, 1], np.int8), (SLOTS, DIM))
-    out = item
-    for _ in range(GRAM - 1):  # rho(earlier letters) * next letter
-        out = (np.roll(out, 1, axis=1)[:, None, :] * item[None, :, :]).reshape(-1, DIM)
-    return out
+def bank() -> Bank:
+    return Bank()
 
 
-def gram_counts(text: str) -> np.ndarray | None:
-    """How often each n-gram of slots occurs in a text, a boundary at its ends; None without letters."""
-    table = slot_table()
-    total, carry, seen = None, np.zeros(1, np.int64), False
-    for at in range(0, max(1, len(text)), PIECE):
-        piece = text[at : at + PIECE].lower()
-        codes = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32)
-        slots = table[codes].astype(np.int64)
-        seen = seen or bool(slots.any())
-        last = at + PIECE >= len(text)
-        slots = np.concatenate((carry, slots, np.zeros(int(last), np.int64)))
-        slots = slots[np.concatenate(([True], (slots[1:] != 0) | (slots[:-1] != 0)))]  # one boundary between words
-        if len(slots) >= GRAM:
-            grams = (slots[:-2] * SLOTS + slots[1:-1]) * SLOTS + slots[2:]
-            counts = np.bincount(grams, minlength=SLOTS**GRAM)
-            total = counts if total is None else total + counts
-        carry = slots[-2:]
-    return total if seen else None
+def gram_keys(text: str, before: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Packed n-grams of a piece that follows the codes `before`, and the last codes of it."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    codes = np.concatenate((before, codes * letter_table()[codes], np.zeros(int(last), np.int64)))
+    middle = codes[1:-1] != 0
+    return (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[middle], codes[-2:]
 
 
 def vector(text: str) -> np.ndarray | None:
-    counts = gram_counts(text)
-    if counts is None:
-        return None
-    some = np.flatnonzero(counts)
-    return counts[some].astype(np.float32) @ gram_vectors()[some].astype(np.float32)
+    """The bundle of a text's n-grams; None without letters."""
+    out, codes, seen = np.zeros(DIM), np.zeros(1, np.int64), False
+    for at in range(0, len(text), PIECE):
+        grams, codes = gram_keys(text[at : at + PIECE], codes, at + PIECE >= len(text))
+        keys, counts = np.unique(grams, return_counts=True)
+        for lo in range(0, len(keys), TAKE):
+            seen = True
+            out += counts[lo : lo + TAKE].astype(np.float32) @ bank().take(keys[lo : lo + TAKE]).astype(np.float32)
+    return out if seen else None
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
-    texts: dict[str, int] = {}
-    for batch in batches:
+    for batch in slices(batches):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
             v = vector(text)
             if v is not None and (size := float(np.linalg.norm(v))) > 0:
-                total[lang] = total.get(lang, 0) + v / size
-                texts[lang] = texts.get(lang, 0) + 1
+                total[lang] = total.get(lang, 0) + np.rint(v / size * UNIT).astype(np.int64)
     if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([t.astype(np.float64).tolist() for t in total.values()], pa.list_(pa.float64())), pa.array([texts[k] for k in total], pa.int64())], names=["lang", "total", "texts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([t.tolist() for t in total.values()], pa.list_(pa.int64()))], names=["lang", "total"])
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1500) -> tuple[list[str], np.ndarray]:
+def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 1500) -> tuple[list[str], np.ndarray]:
     """Languages and their unit prototypes, from labelled rows."""
-    chosen = sampled_ids(train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()), lang_col, id_col, per_language)
-    rows = train.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    parts = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select(F.coalesce("text", F.lit("")).alias("text"), "lang").mapInArrow(_train, PROTOTYPES)
-    # One vector per task and language, of at most per_language texts: bounded.
+    rows = train.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
+    shares = class_shares(rows, "lang", F.xxhash64("text"), per_language)
+    chosen = rows.where(in_sample("lang", F.xxhash64("text"), shares)).dropDuplicates(["text", "lang"])
+    # One vector per task and language: bounded by the sample.
     sums: dict[str, np.ndarray] = {}
-    for row in parts.collect():
-        sums[row["lang"]] = sums.get(row["lang"], 0) + np.array(row["total"])
+    for row in chosen.mapInArrow(_train, PROTOTYPES).collect():
+        sums[row["lang"]] = sums.get(row["lang"], 0) + np.array(row["total"], np.int64)
     langs = sorted(sums)
     if not langs:
         return [], np.zeros((0, DIM))
-    profile = np.stack([sums[k] for k in langs])
+    profile = np.stack([sums[k] for k in langs]).astype(np.float64)
     norms = np.linalg.norm(profile, axis=1, keepdims=True)
     return langs, profile / np.where(norms > 0, norms, 1)
 
 
 def _predict(langs: list[str], profile: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             best, score = [], []
             for text in batch.column("text").to_pylist():
                 v = vector(text) if text else None
@@ -122,7 +144,7 @@ def _predict(langs: list[str], profile: np.ndarray):
                     score.append(0.0)
                     continue
                 size = float(np.linalg.norm(v))
-                cosine = profile @ v / size if size else np.zeros(len(langs))
+                cosine = np.round(profile @ v / size, 9) if size else np.zeros(len(langs))
                 i = int(cosine.argmax())
                 best.append(langs[i])
                 score.append(float(min(1.0, max(0.0, cosine[i]))))
@@ -134,6 +156,8 @@ def _predict(langs: list[str], profile: np.ndarray):
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_cols: dict[str, str], text_col: str = "text") -> DataFrame:
     """Per row: `id_cols` (name to type; carried along unseen), lang_pred, score. One pass, no shuffle."""
-    rows = small_batches(docs).select(*id_cols, F.col(text_col).cast("string").alias("text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in id_cols.items())
-    return rows.mapInArrow(_predict(*model), f"{schema}, lang_pred string, score double")
+    names = {f"c{i}": F.col(f"`{n}`") for i, n in enumerate(id_cols)}
+    rows = docs.select(*[c.alias(k) for k, c in names.items()], F.col(text_col).cast("string").alias("text"))
+    schema = ", ".join(f"{k} {t}" for k, t in zip(names, id_cols.values(), strict=True))
+    out = rows.mapInArrow(_predict(*model), f"{schema}, lang_pred string, score double")
+    return out.select(*[F.col(k).alias(n) for k, n in zip(names, id_cols, strict=True)], "lang_pred", "score")

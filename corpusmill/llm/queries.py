@@ -38,7 +38,7 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("fp", "copies")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = toxicity.score_documents(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir), {"doc_id": "long"})
+    out = toxicity.score_documents(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir)).select("row.doc_id", "score", "predicted")
     return out.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(True)).alias("held_out"), "score", "predicted")
 
 

@@ -1,22 +1,24 @@
 """Exact top-k search by inner product, with a pivot table for elimination.
 
-The distances of all vectors to a fixed number of pivots are computed beforehand. For a query q and
-a candidate x, |d(q,p) - d(x,p)| over all pivots p gives a lower bound of their distance, hence an
-upper bound of their inner product, (|q|^2 + |x|^2 - bound^2) / 2. Candidates are evaluated in
-order of that bound and a query stops as soon as the next bound is below its k-th best score: the
-result is exact whatever the pivots are.
+The distances of all vectors to a fixed number of pivots are computed beforehand and stored. For a
+query q and a candidate x, |d(q,p) - d(x,p)| over all pivots p gives a lower bound of their
+distance, hence an upper bound of their inner product, (|q|^2 + |x|^2 - bound^2) / 2. Candidates are
+evaluated in order of that bound and a query stops as soon as the next bound is below its k-th best
+score: the result is exact whatever the pivots are. A query starts from its k-th best score in the
+pivot sample, and keeps its best through all batches of a task.
 
-Queries go out in blocks of a fixed number of rows (a broadcast of fixed size); every block meets
-every candidate partition, which returns its k best per query, and those are merged.
+Queries go out in blocks of some QUERY_BLOCK rows, one block after the other: only the block in hand
+is on the driver and in the tasks. Every candidate partition returns its k best per query; these are
+merged, and a block's result is appended to a table in the shared folder before the next one starts.
 
 Vectors are integers: floor(scale * component). Those that are null or hold a null or non-finite
 component take no part, nor do rows without an id; only vectors of equal length are compared. A
-query's candidates are the rows of other ids. Repeated rows are candidates of their own.
+query's candidates are the rows of other ids. Repeated rows are candidates of their own and one
+query. Extra columns are ignored; an empty table, or no query, gives no rows.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import shared_path, shared_table
+
 QUERY_BLOCK = 4096
 #: Above this, a component's products could leave the exact range of float64.
 EXACT = 1 << 22
@@ -70,105 +74,123 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sq, 0))
 
 
-def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, k: int, step: int = 256) -> tuple[list[int], list[int], list[int], int]:
-    """Best k rows of x for each query: query ids, row ids, scores; and how many products were taken."""
-    xs, qs = _exact(x), _exact(q)
-    xf, qf = x.astype(np.float64), q.astype(np.float64)
-    table, mine = _distances(xf, pivots), _distances(qf, pivots)
-    sizes = (xf * xf).sum(1)
-    out_q, out_x, out_s, taken = [], [], [], 0
-    for i in range(len(q)):
-        low = np.zeros(len(x))
-        for p in range(table.shape[1]):
-            np.maximum(low, np.abs(table[:, p] - mine[i, p]), out=low)
-        norm = float(qf[i] @ qf[i])
-        slack = 1e-7 * (norm + sizes) + 1  # covers rounding of the bounds
-        low = np.maximum(low - 1e-9 * (low + 1), 0)
-        bound = (norm + sizes - low * low) / 2 + slack
-        bound[ids == q_ids[i]] = -np.inf
-        first = min(max(step, k), len(x))
-        part = np.argpartition(-bound, first - 1)[:first] if first < len(x) else np.arange(len(x))
-        part = part[np.argsort(-bound[part], kind="stable")]
-        order, whole = part, first == len(x)
-        best_s: list = []
-        best_x: list[int] = []
-        at, least = 0, None
-        while True:
-            if at >= len(order):
-                if whole:
-                    break
-                rest = np.ones(len(x), bool)  # what `part` left out: where bounds tie, it is not a prefix of the whole order
-                rest[part] = False
-                rest = np.flatnonzero(rest)
-                order, whole = np.concatenate([part, rest[np.argsort(-bound[rest], kind="stable")]]), True
-                continue
-            chunk = order[at : at + step]
-            chunk = chunk[bound[chunk] > -np.inf]
-            if least is not None:
-                chunk = chunk[bound[chunk] >= least]
-            if not len(chunk):
-                if least is not None or whole:
-                    break
-                at += step
-                continue
-            scores = [int(v) for v in xs[chunk] @ qs[i]]
-            taken += len(chunk)
-            pairs = sorted(zip([*(-s for s in scores), *(-s for s in best_s)], [*(int(v) for v in ids[chunk]), *best_x], strict=True))[:k]
-            best_s, best_x = [-s for s, _ in pairs], [v for _, v in pairs]
-            if len(best_s) == k:
-                least = best_s[-1]
-            at += step
-        out_q += [int(q_ids[i])] * len(best_x)
-        out_x += best_x
-        out_s += best_s
-    return out_q, out_x, out_s, taken
-
-
-def _search(q_ids: np.ndarray, queries: list[list[int]], pivots: dict[int, np.ndarray], k: int):
-    by_len: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    sizes = np.array([len(v) for v in queries])
-    for d in set(sizes.tolist()):
-        rows = np.flatnonzero(sizes == d)
-        by_len[d] = (q_ids[rows], np.array([queries[i] for i in rows], np.int64).reshape(len(rows), d))
+class Search:
+    """The k best rows for each query of a block, over any number of candidate batches."""
+
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, k: int, step: int = 64, sample: tuple[np.ndarray, np.ndarray] | None = None):
+        self.ids, self.k, self.step, self.pivots = q_ids, k, step, pivots
+        self.q, self.qf = _exact(q), q.astype(np.float64)
+        self.mine = _distances(self.qf, pivots)
+        self.norms = (self.qf * self.qf).sum(1)
+        self.best: list[list[tuple[int, int]]] = [[] for _ in range(len(q))]
+        self.least: list[int | None] = [None] * len(q)
+        self.taken = 0
+        if sample is not None and len(sample[0]) > k:
+            ids, x = sample
+            xs = _exact(x)
+            for i in range(len(q)):  # the k-th best of some rows is a floor of the k-th best of all
+                scores = (xs @ self.q[i])[ids != q_ids[i]]
+                if len(scores) >= k:
+                    self.least[i] = int(np.sort(scores)[-k])
+
+    def add(self, ids: np.ndarray, x: np.ndarray, table: np.ndarray) -> None:
+        """Takes up candidates with their distances to the pivots."""
+        xs, xf = _exact(x), x.astype(np.float64)
+        sizes = (xf * xf).sum(1)
+        for i in range(len(self.ids)):
+            low = np.abs(table - self.mine[i]).max(1) if table.shape[1] else np.zeros(len(x))
+            low = np.maximum(low - 1e-9 * (low + 1), 0)
+            bound = (self.norms[i] + sizes - low * low) / 2 + 1e-7 * (self.norms[i] + sizes) + 1  # the last terms cover rounding
+            open_ = ids != self.ids[i]
+            if self.least[i] is not None:
+                open_ &= bound >= self.least[i]
+            rows = np.flatnonzero(open_)
+            rows = rows[np.argsort(-bound[rows], kind="stable")]
+            for at in range(0, len(rows), self.step):
+                chunk = rows[at : at + self.step]
+                if self.least[i] is not None:
+                    if bound[chunk[0]] < self.least[i]:
+                        break
+                    chunk = chunk[bound[chunk] >= self.least[i]]
+                self.taken += len(chunk)
+                made = zip((-int(v) for v in xs[chunk] @ self.q[i]), (int(v) for v in ids[chunk]), strict=True)
+                self.best[i] = sorted([*self.best[i], *made])[: self.k]
+                if len(self.best[i]) == self.k:
+                    worst = -self.best[i][-1][0]
+                    self.least[i] = worst if self.least[i] is None else max(self.least[i], worst)
+
+    def result(self) -> list[tuple[int, int, int]]:
+        """(query id, row id, score)."""
+        return [(int(q), x, -s) for q, found in zip(self.ids, self.best, strict=True) for s, x in found]
+
+
+Block = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _by_length(rows) -> Block:
+    """Ids and vectors by length of vector, of rows (vec_id, v)."""
+    lists: dict[int, tuple[list, list]] = {}
+    for r in rows:
+        ids, vectors = lists.setdefault(len(r["v"]), ([], []))
+        ids.append(r["vec_id"])
+        vectors.append(r["v"])
+    return {d: (np.array(ids, np.int64), np.array(vectors, np.int64).reshape(len(ids), d)) for d, (ids, vectors) in lists.items()}
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for batch in batches:
+        lengths = np.asarray(batch.column("dim"))
+        for d in np.unique(lengths).tolist():
+            yield d, batch.filter(pa.array(lengths == d))
+
+
+def _pivot_table(pivots: dict[int, np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for d, rows in _groups(batches):
+            table = _distances(_matrix(rows.column("v")).astype(np.float64), pivots.get(d, np.zeros((0, d))))
+            at = pa.array(np.arange(len(table) + 1, dtype=np.int32) * table.shape[1])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(at, pa.array(table.reshape(-1)))], names=[*rows.schema.names, "far"])
 
+    return run
+
+
+def _search(block: Block, pivots: dict[int, np.ndarray], samples: Block, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = np.asarray(batch.column("dim"))
-            for d in set(lengths.tolist()) & set(by_len):
-                rows = batch.filter(pa.array(lengths == d))
-                found = search_block(rows.column("vec_id").to_numpy(), _matrix(rows.column("v")), *by_len[d], pivots.get(d, np.zeros((0, d))), k)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found[:3]], names=["query_id", "vec_id", "score"])
+        searches: dict[int, Search] = {}
+        for d, rows in _groups(batches):
+            if d not in block:
+                continue
+            if d not in searches:
+                searches[d] = Search(*block[d], pivots.get(d, np.zeros((0, d))), k, sample=samples.get(d))
+            far = np.asarray(rows.column("far").flatten()).reshape(rows.num_rows, -1)
+            searches[d].add(rows.column("vec_id").to_numpy(), _matrix(rows.column("v")), far)
+        for search in searches.values():
+            if found := search.result():
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024, pivots: int = 32, pivot_sample: int = 2000) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024, pivots: int = 32, pivot_sample: int = 2000, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best of the other rows for every row where `is_query`; ties to the smaller id.
 
     Pivots come from at most `pivot_sample` rows, those of least id hash; any pivots give the same result.
     """
+    spark = vectors.sparkSession
     x = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), whole_vector(F.col(vector_col), scale).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")).where("v is not null").withColumn("dim", F.size("v"))
-    sample = x.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivot_sample).select("v").collect()
-    by_dim: dict[int, list[list[int]]] = {}
-    for row in sample:
-        by_dim.setdefault(len(row["v"]), []).append(row["v"])
-    chosen = {d: choose_pivots(np.array(rows, np.int64).reshape(len(rows), d), pivots) for d, rows in by_dim.items()}
-    asked = x.where("q").select("vec_id", "v").dropDuplicates()
-    n = asked.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    parts = []
-    bounds = asked.select("vec_id").approxQuantile("vec_id", [i / blocks for i in range(1, blocks)], 0.001) if blocks > 1 else []
-    edges = [None, *sorted(set(bounds)), None]
-    for lo, hi in zip(edges, edges[1:], strict=False):
-        block = asked
-        if lo is not None:
-            block = block.where(F.col("vec_id") > lo)
-        if hi is not None:
-            block = block.where(F.col("vec_id") <= hi)
-        rows = block.collect()  # some QUERY_BLOCK rows
-        if rows:
-            parts.append(x.select("vec_id", "v", "dim").mapInArrow(_search(np.array([r["vec_id"] for r in rows], np.int64), [r["v"] for r in rows], chosen, k), RESULT))
-    empty = vectors.sparkSession.createDataFrame([], RESULT)
-    found = functools.reduce(DataFrame.union, parts) if parts else empty
+    samples = _by_length(x.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivot_sample).select("vec_id", "v").collect())
+    chosen = {d: choose_pivots(rows, pivots) for d, (_, rows) in samples.items()}
+    table = shared_table(x.mapInArrow(_pivot_table(chosen), "vec_id long, v array<long>, q boolean, dim int, far array<double>"), "pivots")
+    asked = table.where("q").select("vec_id", "v").dropDuplicates()
+    blocks = max(1, -(-asked.count() // query_block))
+    asked = shared_table(asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))), "queries")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    path = shared_path(spark, "topk")
+    for i in range(blocks):
+        block = _by_length(asked.where(F.col("block") == i).select("vec_id", "v").collect())  # some query_block rows
+        found = table.select("vec_id", "v", "dim", "far").mapInArrow(_search(block, chosen, samples, k), RESULT) if block else spark.createDataFrame([], RESULT)
+        ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        if blocks == 1:
+            return ranked
+        ranked.write.mode("append").parquet(path)
+    return spark.read.parquet(path)

@@ -1,141 +1,201 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Fitting takes a bounded sample of labelled rows (`positives` and `negatives`, those of least id
-hash). Terms are words and the first 4 and 5 letters of longer words. Terms that tell the labels
-apart (chi-square, by distinct texts of the sample) form the vocabulary, of at most `terms`; TF is
-1 + ln(count), IDF comes from the sample, vectors are unit length over the vocabulary.
-
-The examples lie in blocks of a block-max inverted index: per term and block the largest weight is
-kept. For a text, the blocks' upper bounds are summed from its terms; blocks are scored in bound
-order until no bound reaches the k-th best similarity, so the k nearest are exact. Examples with
-no term in common have similarity 0 and no vote.
+Fitting takes a bounded sample of labelled rows (about `positives` + `negatives`, those of least id
+hash) and all of its terms: words, and the first 4 and 5 letters of longer words. TF is 1 + ln(count).
+A term weighs its IDF times its information gain about the label (TF-IDF-IG, a supervised weighting of
+Debole and Sebastiani, 2003), shrunk by n IG / (n IG + PRIOR) towards 0 where few texts speak for it.
+No term is left out; vectors are unit length over all terms of the sample.
+
+The examples lie in blocks of a block-max inverted index. Rare terms have posting lists; frequent ones
+also the largest weight in each block. A block's upper bound is the best sum from the lists plus the
+bounds of its frequent terms; blocks are scored in bound order until none reaches the k-th best
+similarity, so the k nearest are exact; a batch of texts is scored against a block at once. Examples
+with similarity 0 have no vote.
 
 Votes are weighted by similarity and smoothed by the base rate; a logistic curve fitted on
-leave-one-out votes of the sample turns them into calibrated scores. `evidence` names the voters.
+leave-one-out votes of the sample (taken in tasks) turns them into calibrated scores. `evidence` names
+the voters. Terms are known by their 64-bit hash.
 
 Defined cases: null or empty text, or no known term: the score of no votes. No labelled rows, or
-labels of one kind: the base rate for all. Ties in similarity go to the smaller example id.
+labels of one kind: the base rate for all. Ties in similarity (to 12 digits) go to the smaller example
+id; equal texts of the sample are one example, toxic if any is labelled so. An id with several texts
+gives one example, the text of least hash. Repeated rows get equal results. Very long texts are read
+whole. The input row travels in one struct, so its columns may have any names. Empty table: no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import sampled_ids, small_batches
+from .common import U64, class_shares, in_sample, slices
 
 WORD = re.compile(r"[^\W\d_]+")
-DEAD_MOST = 300_000
+#: Words whose terms a worker remembers.
+MEMO = 300_000
+#: Texts scored at once.
+QUERIES = 64
+#: Texts that must speak for a term before its information gain counts by half, in nats of evidence.
+PRIOR = 10.0
 
 
 def terms_of(word: str) -> tuple[str, ...]:
     return (word, "4:" + word[:4], "5:" + word[:5]) if len(word) > 5 else (word, "4:" + word[:4]) if len(word) > 4 else (word,)
 
 
+def term_hash(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term.encode("utf-8", "replace"))
+
+
+def information_gain(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Mutual information (nats) of a label with n1 ones and n0 zeros and of a term in a texts of the ones and b of the zeros."""
+
+    def part(joint: np.ndarray, side: np.ndarray, label: float) -> np.ndarray:
+        return np.where(joint > 0, joint * np.log(np.maximum(joint, 1e-300) / np.maximum(side * label, 1e-300)), 0.0)
+
+    n = float(n1 + n0)
+    a, b = a / n, b / n
+    with_term, without = a + b, 1 - a - b
+    p1, p0 = n1 / n, n0 / n
+    return np.maximum(part(a, with_term, p1) + part(b, with_term, p0) + part(p1 - a, without, p1) + part(p0 - b, without, p0), 0.0)
+
+
+Vector = tuple[np.ndarray, np.ndarray]
+
+
 class BlockMaxIndex:
-    """Exact k nearest rows by dot product of non-negative sparse vectors."""
-
-    def __init__(self, rows: list[dict[int, float]], block: int = 32):
-        self.n, self.block = len(rows), block
-        by_term: dict[int, tuple[list[int], list[float]]] = {}
-        for i, row in enumerate(rows):
-            for t, w in row.items():
-                docs, weights = by_term.setdefault(t, ([], []))
-                docs.append(i)
-                weights.append(w)
-        self.blocks = -(-self.n // block)
-        self.postings = {}
-        for t, (docs, weights) in by_term.items():
-            d, w = np.array(docs, np.int64), np.array(weights)
-            b = d // block
-            first = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
-            which = b[first]
-            ends = np.append(first[1:], len(d))
-            self.postings[t] = (which, np.maximum.reduceat(w, first), {int(x): (int(s), int(e)) for x, s, e in zip(which, first, ends, strict=True)}, d, w)
-
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """(similarity, row) of the k best rows of positive similarity, best first, ties to the smaller row."""
-        bound = np.zeros(self.blocks)
-        lists = [(q, self.postings[t]) for t, q in query.items() if t in self.postings]
-        if not lists:
-            return []
-        for q, (which, top, _, _, _) in lists:
-            bound[which] += q * top
-        order = np.argsort(-bound, kind="stable")
-        found: list[tuple[float, int]] = []
-        least = 0.0
-        for b in order.tolist():
-            if bound[b] <= 0 or (len(found) >= k and bound[b] * (1 + 1e-9) < least):
-                break
-            score = np.zeros(self.block)
-            for q, (_, _, spans, d, w) in lists:
-                span = spans.get(b)
-                if span:
-                    score[d[span[0] : span[1]] - b * self.block] += q * w[span[0] : span[1]]
-            for j in np.flatnonzero(score > 0).tolist():
-                if b * self.block + j != without:
-                    found.append((float(score[j]), b * self.block + j))
-            if len(found) > k:
-                found.sort(key=lambda x: (-x[0], x[1]))
-                del found[k:]
-            if len(found) >= k:
-                least = min(x[0] for x in found)
-        found.sort(key=lambda x: (-x[0], x[1]))
-        return found[:k]
+    """Exact k nearest rows by dot product of non-negative sparse vectors, for batches of queries.
+
+    Rows are given as arrays: where each begins in `terms` and `weights`. Terms that at least 1 in `frequent`
+    rows hold are frequent: their weights stand in one matrix a block, and their largest ones beside it.
+    """
+
+    def __init__(self, begins: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, ids: np.ndarray, block: int = 128, frequent: int = 16):
+        self.n, self.block = len(begins) - 1, block
+        self.blocks = max(1, -(-self.n // block))
+        self.ids = np.concatenate((ids, np.zeros(self.blocks * block - self.n, np.int64)))
+        row = np.repeat(np.arange(self.n), np.diff(begins))
+        held = np.bincount(terms, minlength=n_terms)
+        self.dense = np.full(n_terms, -1, np.int64)
+        often = np.flatnonzero(held * frequent >= max(self.n, frequent))
+        self.dense[often] = np.arange(len(often))
+        self.table = np.zeros((self.blocks, len(often), block))
+        is_dense = self.dense[terms] >= 0
+        r = row[is_dense]
+        self.table[r // block, self.dense[terms[is_dense]], r % block] = weights[is_dense]
+        self.top = self.table.max(2).T.copy()  # frequent terms x blocks
+        order = np.argsort(terms[~is_dense], kind="stable")
+        self.rows, self.weights = row[~is_dense][order], weights[~is_dense][order]
+        self.ends = np.cumsum(np.where(self.dense >= 0, 0, held))
+        self.starts = np.concatenate(([0], self.ends[:-1]))
+
+    def nearest(self, queries: list[Vector], k: int, without: np.ndarray | None = None) -> tuple[list[list[tuple[float, int]]], int]:
+        """(Per query, (similarity, row) of its k best rows of positive similarity, best first, ties to the smaller id; query blocks scored)."""
+        n, size = len(queries), self.blocks * self.block
+        q = np.zeros((n, self.table.shape[1]))
+        known = np.zeros((n, self.blocks, self.block))
+        for i, (terms, weights) in enumerate(queries):
+            at = self.dense[terms]
+            q[i, at[at >= 0]] = weights[at >= 0]
+            rare = at < 0
+            s, e = self.starts[terms[rare]], self.ends[terms[rare]]
+            length = e - s
+            which = np.repeat(s - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            known[i] = np.bincount(self.rows[which], self.weights[which] * np.repeat(weights[rare], length), size).reshape(self.blocks, self.block)
+        if without is not None:
+            known[np.arange(n), without // self.block, without % self.block] = -np.inf
+        bound = q @ self.top + known.max(2)
+        scores: list[np.ndarray] = [np.zeros(0)] * n
+        rows: list[np.ndarray] = [np.zeros(0, np.int64)] * n
+        least, done = np.full(n, 1e-12), 0
+        for b in np.argsort(-bound.sum(0), kind="stable").tolist():
+            active = np.flatnonzero(bound[:, b] * (1 + 1e-9) + 1e-12 >= least)
+            if not len(active):
+                continue
+            done += len(active)
+            made = np.round(known[active, b] + q[active] @ self.table[b], 12)
+            for i, found in zip(active.tolist(), made, strict=True):
+                j = np.flatnonzero(found >= least[i])
+                if not len(j):
+                    continue
+                x, r = np.concatenate((scores[i], found[j])), np.concatenate((rows[i], j + b * self.block))
+                if len(x) >= k:
+                    best = np.lexsort((self.ids[r], -x))[:k]
+                    x, r = x[best], r[best]
+                    least[i] = x[-1]
+                scores[i], rows[i] = x, r
+        out = []
+        for x, r in zip(scores, rows, strict=True):
+            best = np.lexsort((self.ids[r], -x))
+            out.append(list(zip(x[best].tolist(), r[best].tolist(), strict=True)))
+        return out, done
 
 
 @dataclass
 class ToxicityModel:
-    vocabulary: dict[str, tuple[int, float]]
-    ids: list[int]
-    labels: list[int]
-    rows: list[dict[int, float]]
+    """Known terms (sorted hashes) with their weights, and the examples as unit vectors."""
+
+    hashes: np.ndarray
+    weights: np.ndarray
+    ids: np.ndarray
+    labels: np.ndarray
+    begins: np.ndarray
+    terms: np.ndarray
+    values: np.ndarray
     base: float
     k: int = 15
     smooth: float = 0.5
     slope: float = 1.0
     shift: float = 0.0
     index: BlockMaxIndex | None = field(default=None, repr=False)
-    dead: set[str] = field(default_factory=set, repr=False)
+    memo: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"index": None, "dead": set()}
-
-    def vector(self, text: str) -> dict[int, float]:
-        """Unit TF-IDF vector over the vocabulary."""
-        words = WORD.findall(text.lower())
-        counts: dict[int, int] = {}
-        vocabulary, dead = self.vocabulary, self.dead
-        for word in set(words) - dead:
-            known = [vocabulary[t] for t in terms_of(word) if t in vocabulary]
-            if not known:
-                if len(dead) >= DEAD_MOST:
-                    dead.clear()
-                dead.add(word)
-                continue
-            n = words.count(word)
-            for t, _ in known:
-                counts[t] = counts.get(t, 0) + n
-        return self.unit(counts)
-
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        if not hasattr(self, "_idf"):
-            self._idf = dict(self.vocabulary.values())
-        raw = {t: (1 + math.log(n)) * self._idf[t] for t, n in counts.items()}
-        size = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / size for t, w in sorted(raw.items())}
-
-    def nearest(self, vector: dict[int, float], without: int = -1) -> list[tuple[float, int]]:
+        return self.__dict__ | {"index": None, "memo": {}}
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of the unit vector of a text."""
+        words = Counter(WORD.findall(text.lower()))
+        memo = self.memo
+        fresh = [w for w in words if w not in memo]
+        if fresh and len(self.hashes):
+            if len(memo) > MEMO:
+                memo.clear()
+                fresh = list(words)
+            each = [terms_of(w) for w in fresh]
+            hashes = np.array([term_hash(t) for ts in each for t in ts], U64)
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            flat = np.where(self.hashes[at] == hashes, at, -1).tolist()
+            i = 0
+            for w, ts in zip(fresh, each, strict=True):
+                memo[w] = tuple(t for t in flat[i : i + len(ts)] if t >= 0)
+                i += len(ts)
+        counts: defaultdict[int, int] = defaultdict(int)
+        for w, n in words.items() if len(self.hashes) else ():
+            for t in memo[w]:
+                counts[t] += n
+        terms = np.fromiter(counts, np.int64, len(counts))
+        order = np.argsort(terms)
+        terms = terms[order]
+        return terms, unit(terms, np.fromiter(counts.values(), np.float64, len(counts))[order], self.weights)
+
+    def nearest(self, vectors: list[Vector], without: np.ndarray | None = None) -> list[list[tuple[float, int]]]:
+        if not len(self.ids):
+            return [[] for _ in vectors]
         if self.index is None:
-            self.index = BlockMaxIndex(self.rows)
-        return self.index.nearest(vector, self.k, without)
+            self.index = BlockMaxIndex(self.begins, self.terms, self.values, len(self.hashes), self.ids)
+        return self.index.nearest(vectors, self.k, without)[0]
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Similarity-weighted share of label 1, drawn to the base rate where similarities are small."""
@@ -145,10 +205,15 @@ class ToxicityModel:
         v = min(1 - 1e-6, max(1e-6, vote))
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * math.log(v / (1 - v)) + self.shift))))
 
-    def score(self, text: str) -> tuple[float, list[tuple[float, int]]]:
-        vector = self.vector(text)
-        found = self.nearest(vector) if vector else []
-        return self.calibrated(self.vote(found)), found
+    def scores(self, texts: list[str]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """Score and voters of each text."""
+        return [(self.calibrated(self.vote(found)), found) for found in self.nearest([self.vector(t) for t in texts])]
+
+
+def unit(terms: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    raw = (1 + np.log(counts)) * weights[terms] if len(terms) else np.zeros(0)
+    size = float(np.sqrt((raw * raw).sum()))
+    return raw / size if size > 0 else raw
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
@@ -167,75 +232,109 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -
     return float(min(8.0, max(0.25, a))), float(b)
 
 
-def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            terms = {t for w in set(WORD.findall(text.lower())) for t in terms_of(w)}
-            if terms:
-                yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.string()), pa.array([y] * len(terms), pa.int32())], names=["term", "y"])
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes and counts of the terms of each text."""
+    for batch in slices(batches):
+        hashes, counts = [], []
+        for text in batch.column("text").to_pylist():
+            found: Counter[int] = Counter()
+            for w, n in Counter(WORD.findall(text.lower())).items():
+                for t in terms_of(w):
+                    found[term_hash(t)] += n
+            hashes.append(np.array(list(found), U64).view(np.int64))
+            counts.append(np.array(list(found.values()), np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))], names=["id", "y", "hashes", "counts"])
+
+
+def _vote_rows(model: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for batch in batches:
+            votes: list[float] = []
+            for part in slices([batch], QUERIES):
+                rows = part.column("row").to_numpy()
+                vectors = [(m.terms[a:b], m.values[a:b]) for a, b in zip(m.begins[rows], m.begins[rows + 1], strict=True)]
+                votes += map(m.vote, m.nearest(vectors, rows))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(votes, pa.float64())], names=["row", "vote"])
 
+    return run
 
-def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = 4000, negatives: int = 12000, terms: int = 4096, least: int = 8, chi2: float = 80.0) -> ToxicityModel:
-    """Fits on at most `positives` + `negatives` rows of `labelled` (id, label), with their texts from `docs`."""
-    known = labelled.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    ids = sampled_ids(known, "y", "id", {1: positives, 0: negatives})
-    chosen = known.join(F.broadcast(ids), "id").groupBy("id").agg(F.max("y").alias("y"))
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").groupBy(F.xxhash64("text").alias("h")).agg(F.min("id").alias("id"), F.max("y").alias("y"), F.first("text").alias("text")).drop("h")
+
+def _empty(base: float) -> ToxicityModel:
+    none, whole = np.zeros(0), np.zeros(0, np.int64)
+    return ToxicityModel(np.zeros(0, U64), none, whole, whole, np.zeros(1, np.int64), whole, none, base, smooth=1.0)
+
+
+def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = 1000, negatives: int = 3000, prior: float = PRIOR) -> ToxicityModel:
+    """Fits on about `positives` + `negatives` ids of `labelled` (id, label; all where there are fewer), with their texts from `docs`."""
+    spark = docs.sparkSession
+    known = labelled.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+    shares = class_shares(known, "y", F.col("id"), {1: positives, 0: negatives})
+    chosen = known.where(in_sample("y", F.xxhash64("id"), shares)).groupBy("id").agg(F.max("y").alias("y"))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    single = texts.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = single.groupBy("text").agg(F.min("id").cast("long").alias("id"), F.max("y").alias("y")).select("id", "y", "text")
+    rows = sample.mapInArrow(_terms, "id long, y int, hashes array<long>, counts array<long>").toArrow().combine_chunks()
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    used = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = used.get(1, 0), used.get(0, 0)
+    ids, labels = rows["id"].to_numpy(), rows["y"].to_numpy().astype(np.int64)
+    n1, n0 = int(labels.sum()), int((1 - labels).sum())
     base = total.get(1, 0) / max(1, sum(total.values()))
     if not n1 or not n0:
-        return ToxicityModel({}, [], [], [], base if total else 0.0, smooth=1.0)
-    seen = sample.mapInArrow(_term_sets, "term string, y int").groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where(F.col("a") + F.col("b") >= least)
-    a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), float(n1 + n0)
-    score = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * float(n0) * (a + b) * (n - a - b) + 1e-9)
-    found = seen.withColumn("chi2", score).where(F.col("chi2") >= chi2).orderBy(F.desc("chi2"), "term").limit(terms).collect()
-    vocabulary = {r["term"]: (i, math.log((n + 1) / (r["a"] + r["b"] + 1)) + 1) for i, r in enumerate(found)}
-    model = ToxicityModel(vocabulary, [], [], [], base)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, y, text in zip(batch.column("id").to_pylist(), batch.column("y").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                v = model.vector(text)
-                if v:
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([y], pa.int32()), pa.array([list(v)], pa.list_(pa.int32())), pa.array([list(v.values())], pa.list_(pa.float64()))], names=["id", "y", "t", "w"])
-
-    rows = sample.mapInArrow(vectors, "id long, y int, t array<int>, w array<double>").collect()
-    # Rows of like heaviest term share blocks, which tightens the blocks' bounds.
-    rows.sort(key=lambda r: (r["t"][int(np.argmax(r["w"]))], r["id"]))
-    model.ids, model.labels = [r["id"] for r in rows], [r["y"] for r in rows]
-    model.rows = [dict(zip(r["t"], r["w"], strict=True)) for r in rows]
-    # Ties go to the smaller id: rows are numbered by block order, so ids are compared through their rank.
-    votes = [model.vote(model.nearest(v, i)) for i, v in enumerate(model.rows)]
-    silent = {1: n1 - sum(model.labels), 0: n0 - (len(rows) - sum(model.labels))}
+        return _empty(base if total else 0.0)
+    lists = [rows[c].combine_chunks() for c in ("hashes", "counts")]
+    lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
+    begins = np.asarray(lists[0].offsets).astype(np.int64)
+    hashes, which = np.unique(np.asarray(lists[0].values).view(U64), return_inverse=True)
+    counts, row = np.asarray(lists[1].values).astype(np.float64), np.repeat(np.arange(len(ids)), np.diff(begins))
+    a = np.bincount(which, labels[row], len(hashes))
+    both = np.bincount(which, minlength=len(hashes)).astype(np.float64)
+    gain = information_gain(a, both - a, n1, n0)
+    evidence = gain * len(ids)
+    weights = (np.log((len(ids) + 1) / (both + 1)) + 1) * gain * evidence / (evidence + prior)
+    raw = (1 + np.log(counts)) * weights[which]
+    size = np.sqrt(np.bincount(row, raw * raw, len(ids)))
+    values = raw / np.where(size > 0, size, 1)[row]
+    # Examples of like heaviest term share blocks, which tightens the blocks' bounds.
+    heaviest = np.full(len(ids), -1, np.int64)
+    by_weight = np.argsort(values, kind="stable")
+    heaviest[row[by_weight]] = which[by_weight]
+    order = np.lexsort([ids, heaviest])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    entry = np.lexsort([which, place[row]])
+    starts = np.concatenate(([0], np.cumsum(np.diff(begins)[order])))
+    model = ToxicityModel(hashes, weights, ids[order], labels[order], starts, which[entry].astype(np.int64), values[entry], base)
+    sent = spark.sparkContext.broadcast(model)  # bounded by the sample
+    own = spark.range(len(ids)).select(F.col("id").alias("row")).mapInArrow(_vote_rows(sent), "row long, vote double").toArrow()
+    votes = np.empty(len(ids))
+    votes[own["row"].to_numpy()] = own["vote"].to_numpy()
+    sent.unpersist()
     x = np.array([*votes, base, base])
     y = np.array([*model.labels, 1, 0], float)
-    each = {c: total[c] / used[c] for c in (0, 1)}
-    w = np.array([*(each[c] for c in model.labels), each[1] * silent[1], each[0] * silent[0]])
+    each = {1: total[1] / n1, 0: total[0] / n0}
+    w = np.array([*(each[int(c)] for c in model.labels), 1.0, 1.0])
     z = np.log(np.clip(x, 1e-6, 1 - 1e-6) / np.clip(1 - x, 1e-6, 1))
     model.slope, model.shift = _logistic(z, y, w)
     return model
 
 
-def _score(model: ToxicityModel, evidence: int):
+def _score(sent: Broadcast, text_col: str, evidence: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
         voter = pa.list_(pa.struct([("example", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
-        for batch in batches:
+        for batch in slices(batches, QUERIES):
             scores, voters = [], []
-            for text in batch.column("text").to_pylist():
-                score, found = model.score(text)
+            for score, found in model.scores([t or "" for t in batch.column("row").field(text_col).to_pylist()]):
                 scores.append(score)
-                voters.append([{"example": model.ids[i], "similarity": s, "label": model.labels[i]} for s, i in found[:evidence]])
-            kept = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(voters, voter)], names=[*kept, "score", "predicted", "evidence"])
+                voters.append([{"example": int(model.ids[i]), "similarity": s, "label": int(model.labels[i])} for s, i in found[:evidence]])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(voters, voter)], names=["row", "score", "predicted", "evidence"])
 
     return run
 
 
-def score_documents(docs: DataFrame, model: ToxicityModel, id_cols: dict[str, str], text_col: str = "text", evidence: int = 5) -> DataFrame:
-    """Per row: `id_cols` (name to type; carried along unseen), score, predicted, evidence. One pass, no shuffle."""
-    rows = small_batches(docs).select(*id_cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in id_cols.items())
-    return rows.mapInArrow(_score(model, evidence), f"{schema}, score double, predicted int, evidence array<struct<example:long,similarity:double,label:int>>")
+def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text", evidence: int = 5) -> DataFrame:
+    """Per row: row (the input row, as a struct), score, predicted, evidence. One pass, no shuffle; the model, bounded by its sample, is broadcast."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    voter = T.ArrayType(T.StructType([T.StructField("example", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("label", T.IntegerType())]))
+    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", voter)]
+    return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), text_col, evidence), T.StructType([rows.schema["row"], *added]))

@@ -13,7 +13,7 @@ pytest.importorskip("corpusmill.llm")
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, chat, decontaminate, html, langid, minhash, substring, topk, toxicity, urlfilter
+from corpusmill.llm import bpe, chat, common, decontaminate, html, langid, minhash, substring, topk, toxicity, urlfilter
 from corpusmill.llm.components import connected_components
 from corpusmill.llm.queries import RULES
 
@@ -124,24 +124,88 @@ def brute_components(rows, width, percent=80):
 @pytest.mark.parametrize("width", [1, 2, 5])
 def test_near_duplicates(spark, width):
     rows = corpus(seed=9, n=120, vocabulary=60)
-    got = {r[0]: tuple(r[1:]) for r in minhash.near_duplicates(docs(spark, rows), width=width).collect()}
+    got = {r[0]: tuple(r[1:4]) for r in minhash.near_duplicates(docs(spark, rows), width=width).collect()}
     assert got == brute_components(rows, width)
 
 
 def test_near_duplicates_chain_and_borderline(spark):
     base = [f"s{i}" for i in range(100)]
     rows = [(i, " ".join(base[: 100 - 6 * i])) for i in range(6)] + [(50 + j, " ".join(base[:90] + [f"z{j}_{m}" for m in range(3 + j)])) for j in range(12)]
-    got = {r[0]: tuple(r[1:]) for r in minhash.near_duplicates(docs(spark, rows), width=2).collect()}
+    got = {r[0]: tuple(r[1:4]) for r in minhash.near_duplicates(docs(spark, rows), width=2).collect()}
     assert got == brute_components(rows, 2)
 
 
 def test_near_duplicates_edges(spark):
     rows = [(7, "a b c"), (7, "a b c"), (3, "A  b C"), (None, "a b c"), (9, None), (8, " "), (9, "a b c")]
     got = sorted(((r[0] is None, r[0] or 0), r[1], r[2], r[3]) for r in minhash.near_duplicates(docs(spark, rows), width=2).collect())
-    assert got == [((False, 3), 2, 3, True), ((False, 7), 2, 3, False), ((False, 7), 2, 3, False), ((False, 8), 0, 8, True), ((False, 9), 0, 3, False), ((False, 9), 2, 3, False), ((True, 0), 2, None, True)]
+    assert got == [((False, 3), 2, 3, True), ((False, 7), 2, 3, False), ((False, 7), 2, 3, False), ((False, 8), 0, 8, True), ((False, 9), 0, 9, True), ((False, 9), 2, 3, False), ((True, 0), 2, 3, False)]
+    alone = minhash.near_duplicates(docs(spark, [(None, "a b c"), (None, "a B c"), (None, "x"), (1, "p q"), (1, "r s"), (1, "r s")]), width=2).collect()
+    assert sorted((r[0] or 0, r[1], r[2] or 0, r[3], r["copies"]) for r in alone if r[0] or r[1] == 1) == [(0, 1, 0, True, 1), (1, 1, 1, True, 1), (1, 1, 1, True, 2), (1, 1, 1, True, 2)]
+    assert [r[2] for r in alone if r[1] == 2] == [None, None] and sorted(r[3] for r in alone if r[1] == 2) == [False, True]
     assert minhash.near_duplicates(docs(spark, [])).collect() == []
 
 
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_collide_under_polynomial_hashes_stay_apart(spark):
+    a, b = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    assert a != b
+    words = [f"w{i}" for i in range(19)]
+    rows = [(1, " ".join([*words, a])), (2, " ".join([*words, b])), (3, a), (4, b), (5, " ".join([a, *words])), (6, " ".join(words[:5] + [a] + words[5:])), (7, " ".join(words[:5] + [b] + words[5:]))]
+    got = {r[0]: tuple(r[1:]) for r in substring.word_repeats(docs(spark, rows)).collect()}
+    assert got == brute_repeats(rows, 20) and got[2][1] == 0 and got[7][1] == 0
+    # The same with words in the place of letters, longer than a window.
+    runs = [(1, " ".join(thue_morse(2048, "xy"))), (2, " ".join(thue_morse(2048, "yx")))]
+    got = {r[0]: tuple(r[1:]) for r in substring.word_repeats(docs(spark, runs), length=1100, k=20).collect()}
+    assert got == brute_repeats(runs, 1100)
+    for width in (1, 2, 5):
+        near = {r[0]: tuple(r[1:4]) for r in minhash.near_duplicates(docs(spark, rows), width=width).collect()}
+        assert near == brute_components(rows, width) and near[4][1] == 4
+
+
+def test_very_long_texts_and_words(spark):
+    rng = random.Random(31)
+    long = " ".join(f"v{rng.randrange(50_000)}" for _ in range(200_000))
+    rows = [(1, long), (2, "x " + long), (3, "z" * 1_200_000), (4, "z" * 1_200_000 + "y"), (5, long[:400_000])]
+    got = {r[0]: tuple(r[1:]) for r in substring.word_repeats(docs(spark, rows)).collect()}
+    assert got == brute_repeats(rows, 20)
+    near = {r[0]: tuple(r[1:4]) for r in minhash.near_duplicates(docs(spark, rows), width=2).collect()}
+    assert near == brute_components(rows, 2)
+    items = [(1, " ".join(long.split()[150_000:150_012])), (2, "z" * 1_200_000)]
+    out = decontaminate.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).drop("items", "fp")
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute_contamination(rows, items)
+
+
+def test_a_passage_that_repeats_within_one_task(spark):
+    """The emitter remembers what repeats, in whatever order keys come."""
+    rng = random.Random(37)
+    passage = " ".join(f"p{i}" for i in range(40))
+    filler = lambda: " ".join(f"f{rng.randrange(10**6)}" for _ in range(600))
+    rows = [(i, f"{filler()} {passage} {filler()}") for i in rng.sample(range(1000), 300)]
+    got = {r[0]: tuple(r[1:]) for r in substring.word_repeats(docs(spark, rows).coalesce(1)).collect()}
+    assert got == brute_repeats(rows, 20)
+
+
+def test_salted_join_equals_the_plain_one(spark):
+    left = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("g"), F.col("id").alias("v"))
+    right = spark.range(0, 600, 2).select(F.col("id").alias("g"), (F.col("id") * 2).alias("w"))
+    right = right.union(spark.createDataFrame([(7, 1)], "g long, w long"))
+    assert len(common.hot_keys(left, ["g"])) == 1
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain, salted = left.join(right, ["g"], how), common.salted_join(left, right, ["g"], how)
+        assert salted.columns == plain.columns and salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+
+
+def test_session_settings_and_tables(spark):
+    """Operators leave the session's settings alone, and a cluster without a shared folder is an error."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    substring.word_repeats(docs(spark, [(1, "a")])).collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    assert common.checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
 def test_densified_signatures_agree_like_sets():
     rng = np.random.default_rng(1)
     for n in (1, 5, 60, 2000):
@@ -334,15 +398,50 @@ def test_language(spark):
     assert {r["lang_pred"] for r in langid.identify(df, none, {"doc_id": "long"}).collect()} == {"und"}
 
 
-def test_gram_vectors_bind_and_counts_add_up():
-    table, vectors = langid.slot_table(), langid.gram_vectors()
-    text = "Häuser, am  See"
-    slots = [0, *[int(table[ord(c)]) for c in text.lower()], 0]
-    slots = [s for i, s in enumerate(slots) if i == 0 or s or slots[i - 1]]
-    want = sum(vectors[(a * langid.SLOTS + b) * langid.SLOTS + c].astype(float) for a, b, c in zip(slots, slots[1:], slots[2:], strict=False))
-    assert np.allclose(langid.vector(text), want)
-    long = "ab c" * 600_000
-    assert langid.gram_counts(long).sum() == langid.gram_counts("ab c" * 2).sum() + (600_000 - 2) * 4
+def slow_language_vector(text):
+    """The bundle by its definition, letter by letter."""
+    out = np.zeros(langid.DIM)
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        codes = [0, *map(ord, word), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+            va, vb, vc = (langid.letter_vector(x).astype(float) for x in (a, b, c))
+            out += np.roll(np.roll(va, 1) * vb, 1) * vc
+    return out
+
+
+def test_language_vectors_and_predictions_by_brute_force(spark):
+    rng = random.Random(41)
+    alphabets = {"aa": "abcde", "bb": "cdefg", "cc": "éàüöß", "dd": "中文字母表"}
+    text = lambda k: " ".join("".join(rng.choice(alphabets[k]) for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(1, 12)))
+    rows = [(i, text(k), k) for i, k in enumerate(list(alphabets) * 15)]
+    for _, t, _ in rows:
+        assert np.allclose(langid.vector(t), slow_language_vector(t))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, profile = langid.fit(df)
+    want = []
+    for k in langs:
+        vectors = [slow_language_vector(t) for t in {t for _, t, lang in rows if lang == k}]
+        p = sum(v / np.linalg.norm(v) for v in vectors)
+        want.append(p / np.linalg.norm(p))
+    assert langs == sorted(alphabets) and np.allclose(profile, want, atol=1e-5)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(df, (langs, profile), {"doc_id": "long"}).collect()}
+    for i, t, _ in rows:
+        cosine = np.stack(want) @ slow_language_vector(t) / np.linalg.norm(slow_language_vector(t))
+        assert got[i][0] == langs[int(cosine.argmax())] and got[i][1] == pytest.approx(min(1.0, max(0.0, cosine.max())), abs=1e-4)
+
+
+def test_language_of_long_texts_repeated_ids_and_empty_tables(spark):
+    whole = langid.vector("ab cé " * 200_000)
+    assert np.allclose(whole, 200_000 * langid.vector("ab cé"))
+    rows = [(7, f"{a * 3} {b * 2}{a}", k) for k, a in zip(("l1", "l2", "l3"), "xyz", strict=True) for b in "abcdefgh"]
+    df = spark.createDataFrame(rows * 20, "doc_id long, text string, lang string").withColumns({"lang_pred": F.lit("q"), "score": F.lit(1), "c0": F.lit(2)})
+    model = langid.fit(df)
+    assert model[0] == ["l1", "l2", "l3"]
+    out = langid.identify(df, model, {"doc_id": "long", "lang": "string"})
+    assert out.where("lang = lang_pred").count() == len(rows) * 20 == out.count()
+    assert langid.identify(df.limit(0), model, {"doc_id": "long"}).count() == 0
+    tie = (["a", "b"], np.stack([langid.vector("xyz")] * 2) / np.linalg.norm(langid.vector("xyz")))
+    assert langid.identify(df.limit(1), tie, {"doc_id": "long"}).first()["lang_pred"] == "a"
 
 
 def test_bpe_equals_the_library(spark):
@@ -383,20 +482,66 @@ def test_bpe_merges_by_rank():
         assert bpe.merge_word(s, ranks) == slow(s)
 
 
-def test_block_max_index_is_exact():
-    rng = random.Random(13)
-    rows = [{t: rng.random() for t in rng.sample(range(30), rng.randrange(0, 6))} for _ in range(300)] + [{1: 0.5}] * 5
-    index = toxicity.BlockMaxIndex(rows, block=16)
-    for _ in range(200):
-        q = {t: rng.random() for t in rng.sample(range(33), rng.randrange(1, 5))}
-        scored = sorted(((sum(w * row.get(t, 0) for t, w in q.items()), i) for i, row in enumerate(rows)), key=lambda x: (-round(x[0], 9), x[1]))
-        want = [(pytest.approx(s), i) for s, i in scored[:7] if s > 0]
-        got = index.nearest(q, 7)
-        assert [s for s, _ in got] == [s for s, _ in want] and {i for _, i in got[:3]} == {i for _, i in want[:3]}
+def as_arrays(rows):
+    begins = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
+    return begins, np.array([t for r in rows for t in sorted(r)], np.int64), np.array([r[t] for r in rows for t in sorted(r)], float)
 
 
-def test_toxicity(spark):
-    rng = random.Random(17)
+@pytest.mark.parametrize("frequent", [1, 16, 10**9])
+def test_block_max_index_is_exact(frequent):
+    rng = random.Random(13)
+    rows = [{t: rng.random() for t in rng.sample(range(30), rng.randrange(0, 6))} for _ in range(300)] + [{1: 0.5}] * 5
+    ids = np.array(rng.sample(range(1000), len(rows)))
+    index = toxicity.BlockMaxIndex(*as_arrays(rows), 33, ids, block=16, frequent=frequent)
+    queries, wanted = [], []
+    for _ in range(300):
+        q = {t: rng.random() for t in sorted(rng.sample(range(33), rng.randrange(1, 5)))}
+        scored = sorted((-round(sum(w * row.get(t, 0) for t, w in q.items()), 12), int(ids[i]), i) for i, row in enumerate(rows))
+        wanted.append([(pytest.approx(-s), i) for s, _, i in scored if s < 0])
+        queries.append((np.array(list(q)), np.array(list(q.values()))))
+    got, done = index.nearest(queries, 7)
+    assert got == [w[:7] for w in wanted] and done < len(queries) * index.blocks
+    own = np.array([w[0][1] if w else 0 for w in wanted])
+    assert index.nearest(queries, 7, own)[0] == [[x for x in w if x[1] != i][:7] for w, i in zip(wanted, own, strict=True)]
+
+
+def brute_toxicity(rows, model, text):
+    """Score of a text by the definition: full cosine with every distinct labelled text, votes and calibration."""
+    n1, n0 = sum(y for _, _, y in rows), sum(1 - y for _, _, y in rows)
+    held = {}
+    for _, t, y in rows:
+        for term in {x for w in re.findall(r"[^\W\d_]+", t.lower()) for x in toxicity.terms_of(w)}:
+            held.setdefault(term, [0, 0])[y] += 1
+
+    def entropy(*p):
+        return -sum(x * np.log(x) for x in p if x > 0)
+
+    n = n1 + n0
+    weight = {}
+    for term, (b, a) in held.items():
+        gain = max(0.0, entropy(n1 / n, n0 / n) + entropy((a + b) / n, 1 - (a + b) / n) - entropy(a / n, b / n, (n1 - a) / n, (n0 - b) / n))
+        weight[term] = (np.log((n + 1) / (a + b + 1)) + 1) * gain * n * gain / (n * gain + toxicity.PRIOR)
+
+    def vector(t):
+        counts = {}
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for x in toxicity.terms_of(w):
+                if x in weight:
+                    counts[x] = counts.get(x, 0) + 1
+        v = {x: (1 + np.log(c)) * weight[x] for x, c in counts.items()}
+        size = np.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {x: w / size for x, w in v.items()}
+
+    q = vector(text)
+    near = sorted((-round(sum(w * v.get(x, 0) for x, w in q.items()), 10), i, y) for i, v, y in ((i, vector(t), y) for i, t, y in rows))[:15]
+    near = [(-s, y) for s, _, y in near if s < 0]
+    vote = (sum(s for s, y in near if y) + model.smooth * model.base) / (sum(s for s, _ in near) + model.smooth)
+    z = np.log(np.clip(vote, 1e-6, 1 - 1e-6) / np.clip(1 - vote, 1e-6, 1))
+    return 1 / (1 + np.exp(-(model.slope * z + model.shift)))
+
+
+def toxic_rows(n, seed=17):
+    rng = random.Random(seed)
     bad, plain = ["vile", "scummy", "wretch"], [f"p{c}{d}" for c in "abcdefgh" for d in "xyz"]
 
     def text(toxic):
@@ -405,16 +550,44 @@ def test_toxicity(spark):
             w[rng.randrange(30)] = rng.choice(bad) + "."
         return " ".join(w)
 
-    rows = [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(400)]
+    return [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(n)]
+
+
+def scores(df, model):
+    return {r["doc_id"]: r for r in toxicity.score_documents(df, model).select("row.doc_id", "score", "predicted", "evidence").collect()}
+
+
+def test_toxicity(spark):
+    rows = toxic_rows(400)
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.fit(df.where("doc_id < 320").select("doc_id", "toxic"), df, positives=200, negatives=300, chi2=20.0)
-    got = {r["doc_id"]: r for r in toxicity.score_documents(df, model, {"doc_id": "long"}).collect()}
+    model = toxicity.fit(df.where("doc_id < 320").select("doc_id", "toxic"), df)
+    got = scores(df, model)
     assert sum(got[i]["predicted"] == y for i, _, y in rows if i >= 320) >= 78
     assert any(e["label"] == 1 for e in got[320]["evidence"])
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "??"), (3, "??")], "doc_id long, text string").withColumn("score", F.lit("x"))
-    assert {(r["predicted"], 0 <= r["score"] <= 1) for r in toxicity.score_documents(odd, model, {"doc_id": "long"}).collect()} == {(0, True)}
+    for i, t, _ in rows[320:]:
+        assert got[i]["score"] == pytest.approx(brute_toxicity(rows[:320], model, t), abs=1e-6)
+
+
+def test_toxicity_of_few_labels_ties_and_odd_rows(spark):
+    rows = toxic_rows(70)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "toxic"), df)
+    got = scores(df, model)
+    assert len({r["score"] for r in got.values()}) > 10
+    assert np.mean([got[i]["score"] for i, _, y in rows if y]) > np.mean([got[i]["score"] for i, _, y in rows if not y]) + 0.2
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "??"), (3, "??"), (4, "unheardof"), (None, rows[0][1]), (5, "vile " * 300_000)], "doc_id long, text string").withColumns({c: F.lit("x") for c in ("score", "predicted", "row", "evidence", "id", "y")})
+    out = toxicity.score_documents(odd, model)
+    assert out.count() == 7 and {r["row"]["score"] for r in out.collect()} == {"x"}
+    assert {(r["predicted"], round(r["score"], 6)) for r in scores(odd, model).values() if r["evidence"] == []} == {(0, round(model.calibrated(model.base), 6))}
+    assert scores(odd, model)[5]["predicted"] == 1 and scores(odd.limit(0), model) == {}
     none = toxicity.fit(df.limit(0), df)
-    assert {r["predicted"] for r in toxicity.score_documents(df, none, {"doc_id": "long"}).collect()} == {0}
+    assert {r["predicted"] for r in scores(df, none).values()} == {0}
+    one = toxicity.fit(df.where("toxic = 1"), df)
+    assert {r["score"] for r in scores(df, one).values()} == {one.calibrated(1.0)}
+    # Equal similarity: the smaller example id votes. Rows of one id, or one text under many ids, are one example.
+    same = spark.createDataFrame([(i, "vile thing" if i % 2 else "vile thong", i % 2) for i in range(40)] + [(100 + i, f"plain w{i}", 0) for i in range(40)] + [(200, "calm", 0)] * 50, "doc_id long, text string, toxic int")
+    m = toxicity.fit(same.select("doc_id", "toxic"), same)
+    assert len(m.ids) == 2 + 40 + 1 and [e["example"] for e in scores(spark.createDataFrame([(1, "vile")], "doc_id long, text string"), m)[1]["evidence"]] == [0, 1]
 
 
 def test_top_k(spark):
@@ -437,9 +610,29 @@ def test_pivots_spare_products():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(20, 16)) * 4000
     x = (np.repeat(centres, 100, 0) + rng.normal(size=(2000, 16)) * 40).astype(np.int64)
-    pivots = topk.choose_pivots(x, 24)
-    ids = np.arange(2000)
-    _, _, scores, taken = topk.search_block(ids, x, np.array([-1]), x[:1], pivots, 10, step=64)
-    assert scores == sorted((x @ x[0]).tolist(), reverse=True)[:10] and taken < 1000
+    pivots, ids = topk.choose_pivots(x, 24), np.arange(2000)
+    far = topk._distances(x.astype(float), pivots)
+
+    def search(sample=None):
+        found = topk.Search(np.array([-1]), x[:1], pivots, 10, sample=sample)
+        for at in range(0, 2000, 500):  # the k-th best is kept from batch to batch
+            found.add(ids[at : at + 500], x[at : at + 500], far[at : at + 500])
+        return found
+
+    plain, seeded = search(), search((ids[::7], x[::7]))
+    want = sorted((x @ x[0]).tolist(), reverse=True)[:10]
+    assert [s for _, _, s in plain.result()] == [s for _, _, s in seeded.result()] == want
+    assert seeded.taken <= plain.taken < 1000
     big = x * (1 << 30)
-    assert topk.search_block(ids, big, np.array([-1]), big[:1], pivots, 3)[2] == sorted([int(v) for v in (big.astype(object) @ big[0].astype(object))], reverse=True)[:3]
+    exact = topk.Search(np.array([-1]), big[:1], pivots * (1 << 30), 3)
+    exact.add(ids, big, far * (1 << 30))
+    assert [s for _, _, s in exact.result()] == sorted([int(v) for v in (big.astype(object) @ big[0].astype(object))], reverse=True)[:3]
+
+
+def test_top_k_in_blocks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(600)] + [(None, [1.0] * 6), (900, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"v": F.lit(1), "far": F.lit(2), "q": F.lit(3), "dim": F.lit(4)})
+    one = topk.top_k(df, F.col("vec_id") % 3 == 0, k=4, pivots=5).collect()
+    many = topk.top_k(df, F.col("vec_id") % 3 == 0, k=4, pivots=5, query_block=30).collect()
+    assert len(one) == 800 and sorted(one) == sorted(many)

@@ -26,10 +26,12 @@ def test_tied_bounds_in_one_batch(every):
     ids, x = tied(every=every)
     asked = np.array([0, every, 5 * every, 1])
     pivots = topk.choose_pivots(x[:500], 32)
-    out_q, out_x, out_s, taken = topk.search_block(ids, x, asked, x[asked], pivots, 10)
+    search = topk.Search(asked, x[asked], pivots, 10)
+    search.add(ids, x, topk._distances(x.astype(float), pivots))
+    found = search.result()
     for q in asked.tolist():
-        assert [(v, s) for i, v, s in zip(out_q, out_x, out_s, strict=True) if i == q] == brute(ids, x, q, x[q], 10)
-    assert taken <= len(asked) * len(x)  # no row is evaluated twice
+        assert [(v, s) for i, v, s in found if i == q] == brute(ids, x, q, x[q], 10)
+    assert search.taken <= len(asked) * len(x)  # no row is evaluated twice
 
 
 def test_top_k_of_equal_vectors(spark):
