@@ -5,6 +5,10 @@ toxic documents go; of each group of near-duplicates (five-word shingles, simila
 smallest id stays; passages of 50 words and more that stand earlier in the corpus are cut from the
 text (a document that consists of them goes); documents with benchmark passages go. The last
 returns the token ids.
+
+Defined cases, in every stage: rows travel in one struct, so extra columns of any name pass through; null ids
+are an id that sorts last; an empty table gives no rows. What a stage does with null texts and repeats
+stands in its docstring.
 """
 
 from __future__ import annotations
@@ -13,45 +17,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe, decontaminate, minhash, substring, toxicity
-from corpusmill.llm.common import NO_ID, documents_keyed, shared_table, table
+from corpusmill.llm.common import KEYS, documents_keyed, shared_table, table
 from corpusmill.llm.queries import toxicity_model
 
 PASSAGE_WORDS = 50
 
 
+def unwrap(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The input rows that travelled in the struct `row`."""
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    types = {n: t for n, t in docs.dtypes if n != "text"}
-    scored = toxicity.score_documents(docs.withColumn("_text", F.col("text")), toxicity_model(spark, docs, sf_dir), types | {"_text": "string"})
-    return scored.where("predicted = 0").withColumnRenamed("_text", "text").select(*docs.columns)
+    """Documents that the votes do not call toxic. Null and empty texts have no votes and the base rate, so they stay."""
+    scored = toxicity.score_documents(docs, toxicity_model(spark, docs, sf_dir))
+    return unwrap(scored.where("predicted = 0"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash.near_duplicates(docs, width=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    _, keys = documents_keyed(docs)
-    if len(keys) > 1:  # repeated ids: one row of each
-        left = left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return left.select(*docs.columns)
+    """The first document, by id and text, of each group. Texts that share an id but nothing else stay, each; of equal rows one."""
+    found = minhash.near_duplicates(docs, width=5, percent=80)
+    key = F.coalesce(F.col("doc_id"), F.lit(minhash.NO_ID)).alias("k")
+    gone = found.where(~F.col("kept")).select(key, "fp").distinct()
+    several = found.where(F.col("kept") & (F.col("copies") > 1)).select(key, "fp").distinct()
+    rows = documents_keyed(docs).select(*KEYS, "row").join(gone, KEYS, "left_anti")
+    one_of = rows.join(several, KEYS, "left_semi").groupBy(*KEYS).agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return unwrap(rows.join(several, KEYS, "left_anti").unionByName(one_of), docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substring.remove_repeats(docs, length=PASSAGE_WORDS)
-    keys = [c for c in cut.columns if c in ("k", "fp")]
-    rest = docs.withColumn("k", F.coalesce("doc_id", F.lit(NO_ID)))
-    if len(keys) > 1:
-        rest = rest.withColumn("fp", F.xxhash64(F.coalesce("text", F.lit(""))))
-        cut = cut.dropDuplicates(keys)
-    out = rest.drop("text").join(cut.where("has_words or n_removed = 0"), keys)
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Texts without the passages that stand earlier in the corpus; null and blank texts stay as they are."""
+    cut = substring.remove_repeats(docs, length=PASSAGE_WORDS).where("has_words or n_removed = 0")
+    new = {"text": F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return cut.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bad = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("fp").alias("bad_fp")).distinct()
-    fits = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_fp"))
-    return docs.join(bad, fits, "left_anti").select(*docs.columns)
+    """Documents without any benchmark passage. Rows of one id are told apart by their texts."""
+    bad = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.coalesce("doc_id", F.lit(minhash.NO_ID)).alias("k"), "fp").distinct()
+    return unwrap(documents_keyed(docs).select(*KEYS, "row").join(bad, KEYS, "left_anti"), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the token ids of every row; null text has none."""
     return bpe.encode_documents(docs, id_cols={"doc_id": "long", "lang": "string", "source": "string"}, with_ids=True)
 
 
