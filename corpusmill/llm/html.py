@@ -6,11 +6,14 @@ sibling statistics. Decoding picks the best set of blocks that is closed under a
 is kept only with all its ancestors, and a subtree goes as a whole where that scores better, so
 no choice contradicts that of an ancestor or descendant.
 
-The trees are fitted on generated pages (`training_pages`, a fixed number from a fixed seed): no
-labelled pages are needed. Nothing of a page is cut off or capped.
+The trees are fitted on generated pages (`training_pages`, a fixed number from a fixed seed) of
+many layouts: no labelled pages are needed. Nothing of a page is cut off or capped; only the insides
+of script, style, title, noscript, textarea, iframe, svg and template elements are no text.
 
 Defined cases: null or empty html: text empty. Unclosed or stray tags are handled as browsers do
-in the common cases. Repeated rows are rows of their own. Extra columns are ignored.
+in the common cases. Repeated rows are rows of their own. Equal values of a subtree and of nothing:
+the subtree goes. Very long and very deep pages are parsed in time linear in their length. Extra
+columns are ignored, whatever their names. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +39,9 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 LETTERS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-RAW = frozenset("script style title noscript textarea iframe svg template object math canvas audio video".split())
+RAW = frozenset("script style title noscript textarea iframe svg template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img label".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img label object canvas audio video math mi mn mo ms mrow mfrac msup msub msubsup msqrt mroot mtext mtable mtr mtd mover munder semantics".split())
 IGNORED = frozenset("html head body".split())
 #: An open element of the first kind is closed by a start tag of the second, unless a stopper stands between.
 CLOSES = {
@@ -83,10 +86,13 @@ class Nodes:
         self.roots.append(root)
         self.run_from.append(len(self.run_node))
         stack: list[tuple[str, int]] = [("body", root)]
+        places: dict[str, list[int]] = {}  # of each tag, where it stands open in the stack
+        endless: set[str] = set()  # raw elements without an end tag from here on
         link = 0
         pieces: list[str] = []
         links = 0
         at = 0
+        place = lambda names: max((places[x][-1] for x in names if places.get(x)), default=0)
 
         def flush() -> None:
             nonlocal links
@@ -102,7 +108,9 @@ class Nodes:
 
         def pop() -> None:
             self.end[stack[-1][1]] = len(self.parent)
-            stack.pop()
+            name, _ = stack.pop()
+            if stack:
+                places[name].pop()
 
         for m in TAG.finditer(page):
             if m.start() < at:  # inside a raw element
@@ -127,21 +135,21 @@ class Nodes:
             if closing:
                 if name in IGNORED:
                     continue
-                for d in range(len(stack) - 1, 0, -1):
-                    if stack[d][0] == name:
-                        flush()
-                        while len(stack) > d:
-                            pop()
-                        link = 0
-                        break
+                if d := place((name,)):
+                    flush()
+                    while len(stack) > d:
+                        pop()
+                    link = 0
                 continue
             if name in RAW:
                 if not (m[3] or m[6] or "").rstrip().endswith("/"):
-                    found = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
+                    found = None if name in endless else re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
+                    if found is None:
+                        endless.add(name)
                     if found:
                         close = page.find(">", found.start())
                         at = len(page) if close < 0 else close + 1
-                    elif name in ("script", "style", "title", "textarea", "iframe", "noscript"):
+                    elif name != "svg":
                         at = len(page)
                 continue
             if name in IGNORED:
@@ -156,17 +164,14 @@ class Nodes:
             shut, stop = CLOSES.get(name, (None, None))
             if shut is None:
                 shut, stop = {"p"}, {"td", "th", "button", "table", "article", "section", "div", "li", "blockquote"}
-            for d in range(len(stack) - 1, 0, -1):
-                if stack[d][0] in shut:
-                    while len(stack) > d:
-                        pop()
-                    break
-                if stack[d][0] in stop:
-                    break
+            if (d := place(shut)) > place(stop):
+                while len(stack) > d:
+                    pop()
             attributes = m[3] or m[6]
             tokens: tuple[str, ...] = ()
             if attributes and "=" in attributes:
                 tokens = tuple(t for a in ATTRIBUTE.finditer(attributes) for t in LETTERS.findall(CAMEL.sub(" ", a[1] or a[2] or a[3] or "").lower()))
+            places.setdefault(name, []).append(len(stack))
             stack.append((name, self.open(stack[-1][1], KIND_OF.get(name, OTHER), tokens)))
         if at < len(page):
             pieces.append(page[at:])
@@ -245,94 +250,144 @@ class Extractor:
         return out
 
 
-def training_pages(n: int = 240, seed: int = 7) -> list[str]:
-    """`n` generated pages; the parts that are not main text stand between \\x01 and \\x02."""
-    rng = random.Random(seed)
-    pick, chance = rng.choice, lambda p: rng.random() < p
-    word = lambda: "".join(pick(("ka", "lo", "mi", "ran", "tes", "vo", "du", "pel", "sor", "ni", "qua", "é", "bri", "z")) for _ in range(rng.randint(1, 4)))
+#: What authors of pages call the parts that are not main text, and those that are: class names and ids in wide use.
+JUNK_NAMES = {
+    "nav": "nav navbar menu main-menu navigation breadcrumb breadcrumbs topnav pagination pager site-nav tabs",
+    "header": "header masthead site-header banner topbar logo branding top",
+    "footer": "footer site-footer copyright colophon legal bottom imprint",
+    "aside": "sidebar side widget related recent-posts secondary trending recommended popular rail more-stories",
+    "ad": "ad ads advert advertisement ad-slot ad-box sponsored sponsor promo promotion adsense commercial",
+    "notice": "cookie cookie-notice notice alert consent gdpr popup modal newsletter subscribe paywall warning disclaimer overlay",
+    "form": "search search-form signup login contact-form subscribe-form poll",
+    "comments": "comments comment-list discussion responses thread reader-comments replies feedback",
+    "share": "share social sharing tags toolbar follow-us actions meta-links",
+}
+MAIN_NAMES = "content main-content post entry entry-content article-body story article text post-body page-content body-copy story-body prose"
 
-    def words(lo: int, hi: int) -> str:
-        out = [word() for _ in range(rng.randint(lo, hi))]
-        return " ".join(w + pick(("", "", "", "", ",", ".", pick(("", "%%%", " |")))) for w in out).strip().capitalize() + pick((".", ".", "", "!", "?"))
 
-    menu = lambda k: "<ul" + pick(("", ' class="menu"', ' class="nav"')) + ">" + "".join(f'<li><a href="/{word()}">{words(1, 2)}</a></li>' for _ in range(k)) + "</ul>"
-    links = lambda k: " ".join(f'<a href="/{word()}">{words(1, 3)}</a>' for _ in range(k))
-    attr = lambda *names: pick(("class", "id", "class")) + '="' + pick(names) + pick(("", "", f" {word()}", f"-{rng.randint(1, 99)}")) + '"'
+def training_pages(n: int = 400, seed: int = 7) -> list[str]:
+    """`n` generated pages of random layout; the parts that are not main text stand between \\x01 and \\x02."""
+    rng = random.Random(seed)
+    pick, chance, some = rng.choice, lambda p: rng.random() < p, rng.randint
+    word = lambda: "".join(pick("bdfgklmnprstvz") + pick(("a", "e", "i", "o", "u", "ai", "ø")) + pick(("", "", "n", "l", "r")) for _ in range(some(1, 4)))
+
+    def sentence(lo: int, hi: int) -> str:
+        out = [word() + pick(("", "", "", "", "", "", ",", ";", ":")) for _ in range(some(lo, hi))]
+        return " ".join(out).rstrip(",;:").capitalize() + pick((".", ".", ".", "!", "?", ""))
+
+    prose = lambda sentences: " ".join(sentence(3, 22) for _ in range(sentences))
+    link = lambda lo, hi: f'<a href="/{word()}">{sentence(lo, hi).rstrip(".!?")}</a>'
+
+    def named(kind: str) -> str:
+        """A class or id (or both) that tells the kind, with or without further names."""
+        name = pick(JUNK_NAMES[kind].split())
+        name = pick((name, name, f"{word()} {name}", f"{name} {name}-{word()}", f"{name}{some(1, 9)}", f"{name}_{word()}"))
+        return pick((f'class="{name}"', f'id="{name}"', f"class={name.split()[0]}", f'data-x="{word()}" class="{name}"'))
+
+    def links(k: int) -> str:
+        each = [link(1, 3) for _ in range(k)]
+        return pick((
+            "<ul>" + "".join(f"<li>{x}</li>" for x in each) + "</ul>", "<ul>" + "".join(f"<li>{x}" for x in each) + "</ul>", " | ".join(each), " ".join(each), "<p>" + ", ".join(each) + "</p>",
+            "".join(f"<div>{x}</div>" for x in each), "<table><tr>" + "".join(f"<td>{x}</td>" for x in each) + "</tr></table>", "<ol>" + "".join(f"<li>{x}</li>" for x in each) + "</ol>",
+        ))
+
+    def box(kind: str, tags: str, inner: str) -> str:
+        tag = pick(tags.split())
+        own = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form"}.get(kind)
+        if own and chance(0.5):
+            return f"<{own}{pick(('', ' ' + named(kind)))}>{inner}</{own}>"
+        return f"<{tag} {named(kind)}>{inner}</{tag}>"
 
     def junk(kind: str) -> str:
+        heading = pick(("", f"<h3>{sentence(1, 3)}</h3>", f"<h2>{sentence(1, 3)}</h2>", f"<strong>{sentence(1, 3)}</strong>"))
         if kind == "nav":
-            return pick((f"<nav>{menu(rng.randint(3, 9))}</nav>", f'<div {attr("navbar", "menu", "main-nav", "navigation", "breadcrumb", "topnav", "pagination")}>{pick((menu, links))(rng.randint(3, 8))}</div>', f'<nav {attr("menu")}>{links(5)}</nav>'))
+            return box(kind, "div div ul section", links(some(2, 10)))
         if kind == "header":
-            return pick(("<header>{}</header>", f'<div {attr("header", "masthead", "site-header", "banner", "topbar", "logo")}>{{}}</div>')).format(pick((f"<h2>{words(1, 4)}</h2>", f"<p>{words(2, 8)}</p>", f'<a href="/">{words(1, 3)}</a>{menu(4)}', words(2, 10))))
+            return box(kind, "div div section", pick((f"<h2>{sentence(1, 4)}</h2>", f"<p>{sentence(2, 10)}</p>", link(1, 3) + links(4), sentence(2, 10), f"<h1>{link(1, 3)}</h1><p>{sentence(2, 8)}</p>")))
         if kind == "footer":
-            return pick(("<footer>{}</footer>", f'<div {attr("footer", "site-footer", "copyright", "colophon", "legal")}>{{}}</div>')).format(pick((f"&copy; {word()}.com &middot; {words(5, 25)}", f"<p>&copy; 2020 {words(3, 20)}</p>", links(6), menu(5) + f"<p>{words(5, 15)}</p>")))
+            mark = pick(("&copy; 2019 ", "Copyright ", "(c) ", "&#169; ", ""))
+            return box(kind, "div div section", pick((mark + sentence(3, 25), f"<p>{mark}{sentence(3, 20)}</p>", links(6), links(5) + f"<p>{mark}{sentence(5, 15)}</p>", f"<p>{prose(2)}</p>", f"<address>{sentence(3, 9)}</address>{mark}{word()}")))
         if kind == "aside":
-            return pick(("<aside>{}</aside>", f'<aside {attr("sidebar", "widget")}>{{}}</aside>', f'<div {attr("sidebar", "side", "widget", "related", "recent-posts", "secondary", "trending", "recommended", "popular")}>{{}}</div>')).format(f"<h3>{words(1, 3)}</h3>" + pick((menu(5), "".join(f"<p>{words(6, 30)}</p>" for _ in range(rng.randint(1, 3))), links(5))))
+            return box(kind, "div div section", heading + pick((links(5), "".join(f"<p>{prose(some(1, 2))}</p>" for _ in range(some(1, 3))), f"<p>{prose(1)}</p>" + links(3))))
         if kind == "ad":
-            return f'<{pick(("div", "div", "section", "p"))} {attr("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner-ad", "adsense", "sponsor", "promotion")}>{pick((words(4, 40), f"<p>{words(5, 40)}</p>", f"<p>{words(5, 30)}</p><p>{words(5, 20)}</p>", links(1)))}</div>'
+            return box(kind, "div div section aside p span", pick((sentence(3, 30), sentence(3, 12) + " " + link(1, 3), link(2, 6), prose(2))))
         if kind == "notice":
-            return f'<div {attr("cookie", "cookie-notice", "notice", "alert", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "paywall", "warning", "disclaimer")}>{pick((words(6, 40), f"<p>{words(8, 40)}</p><button>{words(1, 1)}</button>", f"<p>{words(8, 30)}</p>"))}</div>'
+            return box(kind, "div div section", pick((sentence(6, 30), f"<p>{prose(2)}</p><button>{word()}</button>", f"<p>{sentence(8, 25)}</p>", f"{sentence(5, 20)} {link(1, 2)}")))
         if kind == "form":
-            return f'<form{pick(("", " action=x", " " + attr("search", "signup", "login", "newsletter")))}><label>{words(1, 3)}</label><input name=q>{pick(("", f"<p>{words(4, 15)}</p>", f"<select><option>{word()}<option>{word()}</select>"))}<button>{words(1, 1)}</button></form>'
+            return box(kind, "div section", f"<form action=x><label>{sentence(1, 3)}</label><input name=q>" + pick(("", f"<p>{sentence(4, 15)}</p>", f"<select><option>{word()}<option>{word()}</select>")) + f"<button>{word()}</button></form>")
         if kind == "comments":
-            one = lambda: pick((f'<div {attr("comment", "reply", "comment-body")}><p>{words(4, 60)}</p></div>', f"<li><p>{words(4, 60)}</p></li>", f"<article {attr('comment')}><p>{words(4, 50)}</p></article>", f"<p>{words(5, 60)}</p>"))
-            return f'<{pick(("div", "section"))} {attr("comments", "comment-list", "discussion", "responses", "disqus-thread", "reader-comments", "replies")}><h3>{words(1, 2)}</h3>' + "".join(one() for _ in range(rng.randint(1, 8))) + "</section></div>"
-        if kind == "share":
-            return f'<div {attr("share", "social", "tags", "byline-links", "toolbar", "related-links", "sharing")}>{links(4)}</div>'
-        return ""
+            tag = pick(("div", "li", "article", "section"))
+            one = lambda: f'<{tag} class="{pick(("comment", "reply", "comment-body", "response"))}">{pick(("", "<b>" + word() + "</b> "))}<p>{prose(some(1, 4))}</p></{tag}>'
+            bare = lambda: f"<p>{prose(some(1, 4))}</p>"
+            each = pick((one, one, bare))
+            return box(kind, "div div section", heading + "".join(each() for _ in range(some(1, 8))))
+        return box("share", "div div p ul", links(some(2, 5)))
+
+    def paragraph() -> str:
+        p = prose(pick((1, 1, 2, 3, 5, 8)))
+        if chance(0.2):
+            p += " " + link(1, 4) + " " + sentence(3, 10)
+        if chance(0.15):
+            tag = pick(("em", "b", "i", "strong", "span", "code"))
+            p = f"<{tag}>{sentence(1, 6)}</{tag}> {p}" if chance(0.8) else f"<{tag}>{p}"  # now and then left open
+        if chance(0.1):
+            p = p.replace(" ", "<br>", 1)
+        return p
 
     def article() -> str:
-        out = [f"<h1>{words(2, 12)}</h1>"] if chance(0.85) else []
+        out = [f"<h{some(1, 2)}>{sentence(2, 12)}</h1>"] if chance(0.8) else []
         if chance(0.2):
-            out.append(f'<p {attr("byline", "meta-author", "lead", "intro", "standfirst")}>{words(3, 12)}</p>')
-        for _ in range(rng.choice((1, 1, 2, 3, 4, 6, 9, 14))):
-            p = words(*pick(((1, 6), (6, 30), (20, 90), (30, 120), (40, 200))))
-            if chance(0.12):
-                p = f"<b>{p}<br>"
-            elif chance(0.2):
-                p += f' <a href="/x">{words(1, 4)}</a> {words(3, 10)}'
-            elif chance(0.1):
-                p = f"<em>{words(1, 6)}</em> &amp; {p}"
-            out.append(f"<p>{p}" + ("</p>" if chance(0.9) else ""))
+            out.append(f'<p class="{pick(("byline", "meta-author", "lead", "intro", "standfirst", "dek"))}">{sentence(3, 12)}</p>')
+        tag = pick(("p", "p", "p", "p", "div"))
+        closed = chance(0.8)
+        for _ in range(pick((1, 1, 2, 3, 4, 6, 9, 14))):
+            out.append(f"<{tag}>{paragraph()}" + (f"</{tag}>" if closed or tag == "div" else ""))
             if chance(0.1):
-                out.append("<h{0}>{1}</h{0}>".format(rng.randint(2, 4), words(1, 8)))
+                out.append("<h{0}>{1}</h{0}>".format(some(2, 4), sentence(1, 8)))
             if chance(0.08):
-                out.append("<ul>" + "".join(f"<li>{words(2, 25)}</li>" for _ in range(rng.randint(2, 7))) + "</ul>")
+                out.append("<ul>" + "".join(f"<li>{sentence(2, 25)}</li>" for _ in range(some(2, 7))) + "</ul>")
             if chance(0.05):
-                out.append(f"<blockquote><p>{words(10, 50)}</p></blockquote>")
+                out.append(f"<blockquote><p>{prose(2)}</p></blockquote>")
+            if chance(0.04):
+                out.append(f"<pre>{sentence(5, 40)}</pre>")
             if chance(0.04):
-                out.append(f"<pre>{words(5, 40)}</pre>")
+                out.append("<table>" + "".join(f"<tr><td>{sentence(1, 4)}</td><td>{sentence(1, 4)}</td></tr>" for _ in range(some(2, 6))) + "</table>")
             if chance(0.04):
-                out.append("<table>" + "".join(f"<tr><td>{words(1, 4)}</td><td>{words(1, 4)}</td></tr>" for _ in range(rng.randint(2, 6))) + "</table>")
-            if chance(0.03):
-                out.append(f"<figure><img src=x><figcaption>{words(4, 15)}</figcaption></figure>")
-            if chance(0.06):
+                out.append(f"<figure><img src=x><figcaption>{sentence(4, 15)}</figcaption></figure>")
+            if chance(0.07):
                 out.append("\x01" + junk(pick(("ad", "share", "aside", "notice", "form"))) + "\x02")
         return "".join(out)
 
-    pages = []
-    for _ in range(n):
-        body = article()
-        wrap = pick((
-            "<article>{}</article>", "<article>{}</article>", "<article>{}</article>", "<main><article>{}</article></main>", "<main>{}</main>", f'<div {attr("content", "main-content", "post", "entry-content", "article-body", "story", "article", "text", "post-body", "page-content")}>{{}}</div>',
-            f'<div class="wrapper"><div {attr("content", "post", "entry", "article")}>{{}}</div></div>', f'<section {attr("article", "content", "story")}>{{}}</section>', f'<div class="container"><article {attr("post", "entry")}>{{}}</article></div>', "<div>{}</div>",
-        ))
-        one = lambda *kinds: "\x01" + junk(pick(kinds)) + "\x02"
-        top = "".join(one("nav", "header", "ad", "notice", "form", "nav") for _ in range(rng.randint(0, 4)))
-        low = "".join(one("comments", "aside", "ad", "share", "form", "notice", "comments") for _ in range(rng.randint(0, 3))) + ("\x01" + junk("footer") + "\x02" if chance(0.8) else "")
-        inner = wrap.replace("{}", body)
-        if chance(0.3):
-            shell = pick(('<div id="page">{}</div>', '<div class="wrap">{}</div>', '<div id="root"><div class="layout">{}</div></div>'))
-            page = shell.replace("{}", top + inner + low)
-        else:
-            page = top + inner + low
-        pages.append(page)
-    return pages
+    def wrapped(inner: str) -> str:
+        """The article in zero to three containers, some of which say what they hold."""
+        plain = chance(0.85)
+        for depth in range(pick((1, 1, 2, 3)) if plain else 0):
+            tag = pick(("article", "article", "main", "section", "div", "div")) if depth == 0 else pick(("div", "div", "main", "section"))
+            name = "" if tag in ("article", "main") and chance(0.6) else pick((f' class="{pick(MAIN_NAMES.split())}"', f' id="{pick(MAIN_NAMES.split())}"', f' class="{pick(MAIN_NAMES.split())} {word()}"', ""))
+            inner = f"<{tag}{name}>{inner}</{tag}>"
+        return inner if plain else f"<div>{inner}</div>"
+
+    def page() -> str:
+        part = lambda *kinds: "\x01" + junk(pick(kinds)) + "\x02"
+        top = [part("nav", "header", "ad", "notice", "form", "nav", "share") for _ in range(some(0, 4))]
+        low = [part("comments", "aside", "ad", "share", "form", "notice", "comments", "nav") for _ in range(some(0, 4))]
+        if chance(0.8):
+            low.append(part("footer"))
+        middle = wrapped(article())
+        if chance(0.2):  # columns
+            side = part("aside", "nav", "ad")
+            middle = pick((f'<table><tr><td>{side}</td><td>{middle}</td></tr></table>', f'<div class="row"><div class="col">{middle}</div><div class="col">{side}</div></div>'))
+        body = "".join(top) + middle + "".join(low)
+        for _ in range(pick((0, 0, 0, 1, 2))):
+            body = f'<div {pick(("class", "id"))}="{pick(("page", "wrap", "wrapper", "container", "root", "layout", "site", "outer"))}">{body}</div>'
+        return body
+
+    return [page() for _ in range(n)]
 
 
 @functools.lru_cache(maxsize=2)
-def default_extractor(pages: int = 240, seed: int = 7) -> Extractor:
-    """Fits attribute-token weights and trees on `pages` generated pages (some 0.3 million characters by default)."""
+def default_extractor(pages: int = 400, seed: int = 7) -> Extractor:
+    """Fits attribute-token weights and trees on `pages` generated pages."""
     made = training_pages(pages, seed)
     marked, plain = Nodes(), Nodes()
     junk: list[np.ndarray] = []

@@ -14,7 +14,7 @@ with similarity 0 have no vote.
 
 Votes are weighted by similarity and smoothed by the base rate; a logistic curve fitted on
 leave-one-out votes of the sample (taken in tasks) turns them into calibrated scores. `evidence` names
-the voters. Terms are known by their 64-bit hash.
+the voters.
 
 Defined cases: null or empty text, or no known term: the score of no votes. No labelled rows, or
 labels of one kind: the base rate for all. Ties in similarity (to 12 digits) go to the smaller example
@@ -33,17 +33,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, class_shares, in_sample, slices
+from .common import class_shares, in_sample, slices
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Words whose terms a worker remembers.
-MEMO = 300_000
 #: Texts scored at once.
 QUERIES = 64
 #: Texts that must speak for a term before its information gain counts by half, in nats of evidence.
@@ -54,10 +51,6 @@ def terms_of(word: str) -> tuple[str, ...]:
     return (word, "4:" + word[:4], "5:" + word[:5]) if len(word) > 5 else (word, "4:" + word[:4]) if len(word) > 4 else (word,)
 
 
-def term_hash(term: str) -> int:
-    return xxhash.xxh3_64_intdigest(term.encode("utf-8", "replace"))
-
-
 def information_gain(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     """Mutual information (nats) of a label with n1 ones and n0 zeros and of a term in a texts of the ones and b of the zeros."""
 
@@ -144,9 +137,9 @@ class BlockMaxIndex:
 
 @dataclass
 class ToxicityModel:
-    """Known terms (sorted hashes) with their weights, and the examples as unit vectors."""
+    """Terms of the sample with their weights, and the examples as unit vectors."""
 
-    hashes: np.ndarray
+    names: list[str]
     weights: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
@@ -159,32 +152,25 @@ class ToxicityModel:
     slope: float = 1.0
     shift: float = 0.0
     index: BlockMaxIndex | None = field(default=None, repr=False)
-    memo: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    places: tuple[dict[str, int], ...] | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"index": None, "memo": {}}
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of the unit vector of a text."""
-        words = Counter(WORD.findall(text.lower()))
-        memo = self.memo
-        fresh = [w for w in words if w not in memo]
-        if fresh and len(self.hashes):
-            if len(memo) > MEMO:
-                memo.clear()
-                fresh = list(words)
-            each = [terms_of(w) for w in fresh]
-            hashes = np.array([term_hash(t) for ts in each for t in ts], U64)
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            flat = np.where(self.hashes[at] == hashes, at, -1).tolist()
-            i = 0
-            for w, ts in zip(fresh, each, strict=True):
-                memo[w] = tuple(t for t in flat[i : i + len(ts)] if t >= 0)
-                i += len(ts)
+        return self.__dict__ | {"index": None, "places": None}
+
+    def vector(self, text: str) -> Vector:
+        """Terms and weights of the unit vector of a text; as terms_of, by dictionaries of words and of beginnings."""
+        if self.places is None:
+            self.places = tuple({t[skip:]: i for i, t in enumerate(self.names) if t[:2] == mark} if mark else {t: i for i, t in enumerate(self.names)} for mark, skip in (("", 0), ("4:", 2), ("5:", 2)))
+        whole, four, five = (d.get for d in self.places)
         counts: defaultdict[int, int] = defaultdict(int)
-        for w, n in words.items() if len(self.hashes) else ():
-            for t in memo[w]:
+        for w, n in Counter(WORD.findall(text.lower())).items():
+            if (t := whole(w)) is not None:
                 counts[t] += n
+            if len(w) > 4:
+                if (t := four(w[:4])) is not None:
+                    counts[t] += n
+                if len(w) > 5 and (t := five(w[:5])) is not None:
+                    counts[t] += n
         terms = np.fromiter(counts, np.int64, len(counts))
         order = np.argsort(terms)
         terms = terms[order]
@@ -194,7 +180,7 @@ class ToxicityModel:
         if not len(self.ids):
             return [[] for _ in vectors]
         if self.index is None:
-            self.index = BlockMaxIndex(self.begins, self.terms, self.values, len(self.hashes), self.ids)
+            self.index = BlockMaxIndex(self.begins, self.terms, self.values, len(self.names), self.ids)
         return self.index.nearest(vectors, self.k, without)[0]
 
     def vote(self, found: list[tuple[float, int]]) -> float:
@@ -233,17 +219,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes and counts of the terms of each text."""
+    """Terms of each text with their counts."""
     for batch in slices(batches):
-        hashes, counts = [], []
+        terms, counts = [], []
         for text in batch.column("text").to_pylist():
-            found: Counter[int] = Counter()
+            found: Counter[str] = Counter()
             for w, n in Counter(WORD.findall(text.lower())).items():
                 for t in terms_of(w):
-                    found[term_hash(t)] += n
-            hashes.append(np.array(list(found), U64).view(np.int64))
+                    found[t] += n
+            terms.append(list(found))
             counts.append(np.array(list(found.values()), np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(hashes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))], names=["id", "y", "hashes", "counts"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(terms, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))], names=["id", "y", "terms", "counts"])
 
 
 def _vote_rows(model: Broadcast):
@@ -262,10 +248,10 @@ def _vote_rows(model: Broadcast):
 
 def _empty(base: float) -> ToxicityModel:
     none, whole = np.zeros(0), np.zeros(0, np.int64)
-    return ToxicityModel(np.zeros(0, U64), none, whole, whole, np.zeros(1, np.int64), whole, none, base, smooth=1.0)
+    return ToxicityModel([], none, whole, whole, np.zeros(1, np.int64), whole, none, base, smooth=1.0)
 
 
-def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = 1000, negatives: int = 3000, prior: float = PRIOR) -> ToxicityModel:
+def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = 800, negatives: int = 2400, prior: float = PRIOR) -> ToxicityModel:
     """Fits on about `positives` + `negatives` ids of `labelled` (id, label; all where there are fewer), with their texts from `docs`."""
     spark = docs.sparkSession
     known = labelled.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -274,20 +260,21 @@ def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col:
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
     single = texts.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     sample = single.groupBy("text").agg(F.min("id").cast("long").alias("id"), F.max("y").alias("y")).select("id", "y", "text")
-    rows = sample.mapInArrow(_terms, "id long, y int, hashes array<long>, counts array<long>").toArrow().combine_chunks()
+    rows = sample.mapInArrow(_terms, "id long, y int, terms array<string>, counts array<long>").toArrow().combine_chunks()
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     ids, labels = rows["id"].to_numpy(), rows["y"].to_numpy().astype(np.int64)
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     base = total.get(1, 0) / max(1, sum(total.values()))
     if not n1 or not n0:
         return _empty(base if total else 0.0)
-    lists = [rows[c].combine_chunks() for c in ("hashes", "counts")]
+    lists = [rows[c].combine_chunks() for c in ("terms", "counts")]
     lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
     begins = np.asarray(lists[0].offsets).astype(np.int64)
-    hashes, which = np.unique(np.asarray(lists[0].values).view(U64), return_inverse=True)
+    coded = lists[0].values.dictionary_encode()
+    names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
     counts, row = np.asarray(lists[1].values).astype(np.float64), np.repeat(np.arange(len(ids)), np.diff(begins))
-    a = np.bincount(which, labels[row], len(hashes))
-    both = np.bincount(which, minlength=len(hashes)).astype(np.float64)
+    a = np.bincount(which, labels[row], len(names))
+    both = np.bincount(which, minlength=len(names)).astype(np.float64)
     gain = information_gain(a, both - a, n1, n0)
     evidence = gain * len(ids)
     weights = (np.log((len(ids) + 1) / (both + 1)) + 1) * gain * evidence / (evidence + prior)
@@ -303,7 +290,7 @@ def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col:
     place[order] = np.arange(len(order))
     entry = np.lexsort([which, place[row]])
     starts = np.concatenate(([0], np.cumsum(np.diff(begins)[order])))
-    model = ToxicityModel(hashes, weights, ids[order], labels[order], starts, which[entry].astype(np.int64), values[entry], base)
+    model = ToxicityModel(names, weights, ids[order], labels[order], starts, which[entry], values[entry], base)
     sent = spark.sparkContext.broadcast(model)  # bounded by the sample
     own = spark.range(len(ids)).select(F.col("id").alias("row")).mapInArrow(_vote_rows(sent), "row long, vote double").toArrow()
     votes = np.empty(len(ids))

@@ -2,17 +2,23 @@
 
 Hosts are concatenated names ("cheappillsonline"), so each host label is split into words by a
 unigram Viterbi search, and a multinomial naive Bayes model scores the words of host and path.
-Both models are fitted here, on the labelled seed hosts below or on rows given by the caller.
+The unigram costs follow Zipf's law over the whole words of a public vocabulary file, in the file's
+order (most frequent first); its path is a parameter. The Bayes model is fitted on short topical
+word lists below, or on rows given by the caller. A word that both lists lack says nothing.
 
 A rule is (verdict, host, path): it fits its host and all subdomains where the URL's path starts
 with the rule's path. Of several fitting rules the longest string host + path decides.
 
 Defined cases: null, or no `://`: host and path empty, no rule; the method then has only its prior,
-which allows. Extra columns are kept out of the result. Rows are judged one by one, repeats alike.
+which allows. Extra columns are kept out of the result. Rows are judged one by one, repeats alike;
+equally long rules: the first given. Very long urls are judged whole, in time linear in their length.
+Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import functools
+import json
 import math
 import re
 from collections import Counter
@@ -23,31 +29,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled seed hosts (label, words as written in a host); more can be passed to fit().
-SEED_HOSTS: tuple[tuple[int, str], ...] = (
-    *((1, x) for x in (
-        "casino-win", "online-casino-bonus", "lucky-slots", "free-bets", "sports-betting-tips", "poker-jackpot", "roulette-bonus", "big-win-lottery",
-        "adult-x", "adult-video-x", "sex-cams-live", "xxx-porn-tube", "nude-girls-cams", "porn-free", "hot-adult-dating", "escort-sex",
-        "cheap-pills", "buy-viagra-pills", "discount-pharmacy-meds", "diet-pills-cheap", "cheap-meds-online", "weight-loss-pills",
-        "spam-farm", "link-farm", "seo-spam-links", "click-farm", "fake-likes-farm", "mass-spam-mailer",
-        "ads-track", "ad-tracker-pixel", "click-track-ads", "popup-ads-server", "tracking-pixel", "banner-ads-click",
-        "free-warez-crack", "crack-keygen-serial", "torrent-warez", "pirate-download-free", "phishing-login-verify", "malware-download", "payday-loan-fast", "quick-cash-loans",
-    )),
-    *((0, x) for x in (
-        "daily-news", "city-news-online", "local-weather", "world-news-report", "science-journal", "nature-research", "university-library", "open-library",
-        "health-clinic", "public-health-advice", "school-board", "college-sports", "football-club", "music-festival", "film-review", "book-store", "garden-tips",
-        "home-cooking-recipes", "travel-guide", "hotel-reviews", "museum-art", "history-archive", "law-review", "court-reports", "government-portal", "tax-office",
-        "software-docs", "developer-blog", "open-source-code", "data-science", "math-forum", "photo-blog", "my-blog", "family-farm", "dairy-farm-shop", "race-track-times",
-        "bike-shop", "car-review", "train-timetable", "airport-parking", "bank-online", "insurance-advice", "job-search", "real-estate", "free-encyclopedia", "video-lessons",
-        "weather-live", "online-course", "book-club", "win-win-management", "mobile-help", "wiki", "mail", "shop", "docs", "forum", "support", "static", "cloud-storage", "dating-of-fossils",
-        "the-times", "the-post", "and-then", "there-and-back", "one-on-one", "in-the-news", "her-story", "other-hand", "on-the-road",
-    )),
+#: Words of sites to block (1) and to allow (0), by topic; more can be passed to fit().
+TOPICS: tuple[tuple[int, str], ...] = (
+    (1, "casino betting porn adult viagra pharmacy spam ads tracker warez torrent malware phishing scam"),  # the kinds themselves
+    (1, "casino casinos poker roulette blackjack baccarat slots jackpot bet bets betting bettor bookmaker gamble gambling wager lottery lotto bingo sportsbook"),
+    (1, "porn porno xxx sex sexy nude nudes naked erotic escort escorts adult fetish hentai milf camgirls webcams hookup"),
+    (1, "viagra cialis levitra pill pills pharmacy steroids tramadol xanax meds"),
+    (1, "spam spammer spamming backlinks clickbait followers bulkmail doorway"),
+    (1, "ads adserver advert adverts advertising banner banners popup popunder tracker trackers track tracking telemetry beacon affiliate"),
+    (1, "warez crack cracks cracked keygen serials torrent torrents pirate pirated nulled"),
+    (1, "phishing malware ransomware trojan spyware botnet exploit hack hacked stolen"),
+    (1, "payday loan loans forex ponzi doubler scam fraud fake counterfeit replica"),
+    (0, "news daily times herald post journal press magazine weather report sports football rugby tennis league club"),
+    (0, "science research physics chemistry biology nature university college school library academy learning education teacher students"),
+    (0, "health hospital clinic doctor medicine nursing care dental family children parents baby garden farm dairy flowers"),
+    (0, "cooking recipes kitchen food bread wine restaurant cafe travel hotel tours island beach mountain railway airport"),
+    (0, "music film theatre museum gallery art painting photo history archive heritage books poetry writers language dictionary"),
+    (0, "government council city law court police tax election parliament church community charity volunteers"),
+    (0, "software developer code data math engineering robotics computer network cloud security open source project"),
+    (0, "bike car motor train bank insurance job careers estate house home furniture shoes fashion market"),
 )
-#: Labels that say nothing about a site.
-PLAIN = frozenset("www m com org net edu gov io co uk de fr es en html htm php index example".split())
+#: Labels that say nothing about a site: top-level domains, kinds of host, file endings.
+PLAIN = frozenset("www m com org net edu gov io co uk de fr es en html htm php index example blog forum shop mail docs support static cdn api wiki".split())
 WORD = re.compile(r"[a-z]+")
 TOKEN = re.compile(r"[a-z0-9]+")
-MAX_WORD = 24
+
+
+def vocabulary_words(path: str | None = None) -> list[str]:
+    """Whole words of letters a-z in the vocabulary file, most frequent first; of two letters only the first 30."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    end = model["end_of_word_suffix"]
+    words = [w.removesuffix(end) for w, _ in sorted(model["vocab"].items(), key=lambda x: x[1]) if w.endswith(end)]
+    words = [w for w in words if len(w) > 1 and w.isascii() and w.isalpha()]
+    short = frozenset([w for w in words if len(w) == 2][:30])
+    return [w for w in words if len(w) > 2 or w in short]
 
 
 @dataclass
@@ -58,6 +78,7 @@ class UrlModel:
     unknown: float
     odds: dict[str, float]
     prior: float
+    longest: int
     memo: dict[str, list[str]] = field(default_factory=dict, repr=False, compare=False)
 
     def split(self, name: str) -> list[str]:
@@ -71,22 +92,29 @@ class UrlModel:
             at = best[i]
             if at + self.unknown < best[i + 1]:
                 best[i + 1], back[i + 1] = at + self.unknown, (i, False)
-            for j in range(i + 1, min(n, i + MAX_WORD) + 1):
+            for j in range(i + 1, min(n, i + self.longest) + 1):
                 c = self.cost.get(name[i:j])
                 if c is not None and at + c < best[j]:
                     best[j], back[j] = at + c, (i, True)
         words: list[str] = []
-        joined = False
+        loose: list[str] = []
         j = n
         while j:
             i, known = back[j]
-            if not known and joined:
-                words[-1] = name[i:j] + words[-1]
-            else:
+            if known:
+                if loose:
+                    words.append("".join(reversed(loose)))
+                    loose = []
                 words.append(name[i:j])
-            joined, j = not known, i
+            else:
+                loose.append(name[i:j])
+            j = i
+        if loose:
+            words.append("".join(reversed(loose)))
         words.reverse()
-        if len(self.memo) < 100_000:
+        if n < 100:
+            if len(self.memo) >= 100_000:
+                self.memo.clear()
             self.memo[name] = words
         return words
 
@@ -104,19 +132,21 @@ class UrlModel:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def fit(examples: Iterable[tuple[int, str]] = SEED_HOSTS, prior_block: float = 0.1, smooth: float = 0.5) -> UrlModel:
-    """Fits both models on (label, words joined by '-')."""
+@functools.lru_cache(maxsize=8)
+def fit(examples: tuple[tuple[int, str], ...] = TOPICS, prior_block: float = 0.1, smooth: float = 0.1, vocabulary: str | None = None) -> UrlModel:
+    """Fits the Bayes model on (label, words), and the unigram costs on the vocabulary file and the words of the examples."""
     by = {0: Counter(), 1: Counter()}
     for label, text in examples:
         by[label].update(WORD.findall(text.lower()))
     counts = by[0] + by[1]
-    total = sum(counts.values())
-    # Short words are frequent by chance inside other names: a word costs at least as its length suggests.
-    cost = {w: -math.log(n / (total + 1)) for w, n in counts.items() if len(w) > 1}
-    unknown = max(cost.values(), default=1.0) * 0.75
+    words = vocabulary_words(vocabulary)
+    # Zipf: the word of rank r has probability 1 / (r H). Example words outside the file come last.
+    ranked = list(dict.fromkeys([*words, *sorted(w for w in counts if len(w) > 1)]))
+    harmonic = math.log(len(ranked) + 1) + 0.5772
+    cost = {w: math.log(r * harmonic) for r, w in enumerate(ranked, 1)}
     sums = {y: sum(c.values()) + smooth * len(counts) for y, c in by.items()}
     odds = {w: math.log((by[1][w] + smooth) / sums[1]) - math.log((by[0][w] + smooth) / sums[0]) for w in counts}
-    return UrlModel(cost, unknown, odds, math.log(prior_block / (1 - prior_block)))
+    return UrlModel(cost, max(cost.values()) * 0.75, odds, math.log(prior_block / (1 - prior_block)), max(map(len, cost)))
 
 
 @dataclass(frozen=True)

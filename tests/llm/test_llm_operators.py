@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -332,7 +334,7 @@ def test_urls(spark):
 def test_url_segmentation_is_optimal():
     model = urlfilter.fit()
     rng = random.Random(3)
-    vocabulary = [w for w in model.cost if len(w) < 7]
+    vocabulary = [w for w in model.cost if len(w) < 7][:3000]
 
     def best(name):
         cost = [0.0] + [float("inf")] * len(name)
@@ -349,7 +351,45 @@ def test_url_segmentation_is_optimal():
         assert "".join(parts) == name
         assert best(name) == pytest.approx(sum(model.cost.get(p, model.unknown * len(p)) for p in parts))
     assert model.split("cheappillsonline") == ["cheap", "pills", "online"]
-    assert model.score("adult-x.example.com", "") > 0.5 > model.score("weather.example.com", "/en/5")
+    assert model.split("essexlibrary") == ["essex", "library"]
+    assert "".join(model.split("ab" * 20_000)) == "ab" * 20_000
+
+
+def test_url_scores_by_brute_force():
+    """Naive Bayes by its definition, over the model's own segmentation."""
+    model = urlfilter.fit()
+    train = [(label, w) for label, text in urlfilter.TOPICS for w in text.split()]
+    vocabulary = {w for _, w in train}
+
+    def share(word, label):
+        return (sum(x == (label, word) for x in train) + 0.1) / (sum(y == label for y, _ in train) + 0.1 * len(vocabulary))
+
+    for host, path in (("www.bigcasino.example.com", "/en/poker"), ("gardentips.net", ""), ("", ""), ("spam.news.org", "/a1b/Loan"), ("a.b", "/farm/farm/malware")):
+        block, allow = 0.1, 0.9
+        for w in model.words(host, path):
+            if w in vocabulary:
+                block, allow = block * share(w, 1), allow * share(w, 0)
+        assert model.score(host, path) == pytest.approx(block / (block + allow))
+
+
+#: Hosts that neither the topic lists nor the driver's tables hold as names.
+HELD_OUT = {
+    1: "megaslotsonline pokernight24 luckyroulette bestsportsbook freexxxclips hotnudepics sexycamshow escortsnearby cheapviagra orderxanax fastpaydayloans torrentparadise crackedgames keygenworld popupadserver clicktrackers bannerfarm fakewatches malwaredrop phishingkit bulkspammer adultmovies lottowinners bettingodds",
+    0: "essexlibrary therapistfinder analyticalchemistry bettertomorrow grapefruitrecipes mountaintrains childrenshospital openstreetproject citycouncil villagechurch homeinsurance winterweather poetrycorner oceanphysics jobsforteachers bicyclerepair citymuseum codeacademy gardenflowers footballnews familydoctor winemakers schoolmusic heritagerailway",
+}
+
+
+def test_urls_of_held_out_hosts():
+    model = urlfilter.fit()
+    blocked = {y: [h for h in hosts.split() if model.score(f"www.{h}.com", "/en/5") >= 0.5] for y, hosts in HELD_OUT.items()}
+    caught, wrong = len(blocked[1]), len(blocked[0])
+    assert caught >= 0.8 * len(HELD_OUT[1].split()) and caught / (caught + wrong) >= 0.95, (blocked, caught)
+
+
+def test_urls_that_repeat_or_are_very_long(spark):
+    rows = [(1, "http://x.casinopoker.org/" + "a" * 500_000), (1, "http://x.casinopoker.org/" + "a" * 500_000), (2, "http://" + "q" * 100_000 + "/")]
+    out = urlfilter.judge_urls(spark.createDataFrame(rows, "page_id long, url string").withColumns({"page": F.lit(1), "verdict": F.lit(2), "score": F.lit(3)}), RULES).collect()
+    assert [r["verdict"] for r in sorted(out)] == ["block", "block", "allow"] and out[0] == out[1]
 
 
 def test_main_text(spark):
@@ -366,13 +406,63 @@ def test_main_text(spark):
 
 
 def test_extractor_on_held_out_pages():
-    model, ok = html.default_extractor(), 0
-    pages = html.training_pages(60, seed=99)
+    """Words kept and words wrongly kept, and pages exactly right, on generated pages of another seed."""
+    model, exact, words = html.default_extractor(), 0, [0, 0, 0]
+    pages = html.training_pages(120, seed=99)
     for page in pages:
         want = html.Nodes()
         want.add(re.sub("\x01.*?\x02", "", page, flags=re.S))
-        ok += model.texts([page.replace("\x01", "").replace("\x02", "")])[0] == "\n".join(want.run_text)
-    assert ok >= 0.8 * len(pages)
+        wanted, got = "\n".join(want.run_text), model.texts([page.replace("\x01", "").replace("\x02", "")])[0]
+        exact += got == wanted
+        a, b = Counter(wanted.split()), Counter(got.split())
+        words = [words[0] + (a & b).total(), words[1] + a.total(), words[2] + b.total()]
+    assert exact >= 0.75 * len(pages)
+    assert words[0] / words[1] >= 0.97 and words[0] / words[2] >= 0.97
+
+
+#: Pages written by hand: html, and the text it holds.
+HAND_PAGES = [
+    ("<body><div id=masthead><a href=/>The Paper</a><ul class=menu><li><a href=/a>Home</a><li><a href=/b>World</a></ul></div><div class=story><h1>Rain again</h1><p>It rained all day in the north, and the rivers rose, as they do each spring.<p>Nobody was hurt, the mayor said, and the bridge is open again since the evening.</div><div class=sidebar><h3>Most read</h3><ul><li><a href=/1>One thing</a><li><a href=/2>Another</a></ul></div><div class=copyright>Copyright 2021 The Paper</div></body>",
+     "Rain again\nIt rained all day in the north, and the rivers rose, as they do each spring.\nNobody was hurt, the mayor said, and the bridge is open again since the evening."),
+    ("<header><nav><a href=/>Start</a> <a href=/x>Shop</a></nav></header><main><article><h2>How to bake bread</h2><p>Mix flour, water, salt and yeast; knead it well, and let it rest for an hour or two.</p><ul><li>500 g of flour</li><li>300 g of water</li></ul><blockquote><p>Patience is the best spice, my grandmother used to say.</p></blockquote></article><section class=comments><h3>2 comments</h3><div class=comment><p>Worked well for me, thank you!</p></div><div class=comment><p>Too salty.</p></div></section></main><footer><p>All rights reserved.</p></footer>",
+     "How to bake bread\nMix flour, water, salt and yeast; knead it well, and let it rest for an hour or two.\n500 g of flour\n300 g of water\nPatience is the best spice, my grandmother used to say."),
+    ("<div class=cookie-notice>We use cookies to make this site better. <button>OK</button></div><table><tr><td><div class=menu><a href=1>A</a><br><a href=2>B</a></div></td><td><div id=content><h1>Notes on Euler&#39;s formula</h1><p>For a convex body, <i>v</i> &minus; <i>e</i> + <i>f</i> = 2, which he found in 1750 or so.</p><p>Proofs are many; the shortest counts angles.</p></div></td></tr></table>",
+     "Notes on Euler's formula\nFor a convex body, v − e + f = 2, which he found in 1750 or so.\nProofs are many; the shortest counts angles."),
+    ("<div id=wrap><p class=breadcrumb><a href=/>Home</a> &gt; <a href=/t>Travel</a></p><article class=post><h1>Two days in the hills</h1><p>We left early, with bread and cheese in the bag, and walked until noon.</p><div class=advertisement><p>Book cheap hotels now, from 20 a night.</p></div><p>The hut was full, but they found us a place under the roof.</p></article><form class=newsletter><label>Mail</label><input><button>Join</button></form></div>",
+     "Two days in the hills\nWe left early, with bread and cheese in the bag, and walked until noon.\nThe hut was full, but they found us a place under the roof."),
+]
+
+
+def test_extractor_on_hand_marked_pages():
+    model = html.default_extractor()
+    words = [0, 0, 0]
+    for page, text in HAND_PAGES:
+        a, b = Counter(text.split()), Counter(model.texts([page])[0].split())
+        words = [words[0] + (a & b).total(), words[1] + a.total(), words[2] + b.total()]
+    assert words[0] / words[1] >= 0.95 and words[0] / words[2] >= 0.9, words
+
+
+def test_choice_of_blocks_is_the_best_ancestor_closed_one():
+    """All ancestor-closed choices of small pages, tried one by one."""
+    model = html.default_extractor()
+    for page in html.training_pages(60, seed=5):
+        nodes = html.Nodes(model.weights)
+        nodes.add(page.replace("\x01", "").replace("\x02", "")[:900])
+        n = len(nodes.parent)
+        if n > 14:
+            continue
+        x, chars = nodes.features()
+        value = (np.clip(model.trees.logits(x), -4, 4) * (1 + np.log1p(chars))).tolist()
+        best = max(sum(value[i] for i in range(n) if bits >> i & 1) for bits in range(1, 1 << n, 2) if all(not bits >> i & 1 or p < 0 or bits >> p & 1 for i, p in enumerate(nodes.parent)))
+        kept = model.keep(nodes)
+        assert sum(v for v, k in zip(value, kept.tolist(), strict=True) if k) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("page", ["<center>" * 20_000 + "x", "<svg>" * 20_000 + "x", "</b></i></x>" * 20_000, "<li><ul>" + "<center>" * 5000 + "<li></li>" * 5000, "<p><x>" * 10_000])
+def test_deep_and_broken_pages_take_linear_time(page):
+    start = time.perf_counter()
+    html.default_extractor().texts([page])
+    assert time.perf_counter() - start < 30
 
 
 def test_kept_blocks_are_closed_under_ancestors():
