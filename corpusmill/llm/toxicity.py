@@ -74,13 +74,13 @@ class BlockMaxIndex:
     rows hold are frequent: their weights stand in one matrix a block, and their largest ones beside it.
     """
 
-    def __init__(self, begins: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, ids: np.ndarray, block: int = 128, frequent: int = 16):
+    def __init__(self, begins: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, ids: np.ndarray, block: int = 128, frequent: int = 10):
         self.n, self.block = len(begins) - 1, block
         self.blocks = max(1, -(-self.n // block))
         self.ids = np.concatenate((ids, np.zeros(self.blocks * block - self.n, np.int64)))
-        row = np.repeat(np.arange(self.n), np.diff(begins))
+        row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(begins))
         held = np.bincount(terms, minlength=n_terms)
-        self.dense = np.full(n_terms, -1, np.int64)
+        self.dense = np.full(n_terms, -1, np.int32)
         often = np.flatnonzero(held * frequent >= max(self.n, frequent))
         self.dense[often] = np.arange(len(often))
         self.table = np.zeros((self.blocks, len(often), block))
@@ -90,8 +90,8 @@ class BlockMaxIndex:
         self.top = self.table.max(2).T.copy()  # frequent terms x blocks
         order = np.argsort(terms[~is_dense], kind="stable")
         self.rows, self.weights = row[~is_dense][order], weights[~is_dense][order]
-        self.ends = np.cumsum(np.where(self.dense >= 0, 0, held))
-        self.starts = np.concatenate(([0], self.ends[:-1]))
+        self.ends = np.cumsum(np.where(self.dense >= 0, 0, held)).astype(np.int32)
+        self.starts = np.concatenate((np.zeros(1, np.int32), self.ends))[:n_terms]
 
     def nearest(self, queries: list[Vector], k: int, without: np.ndarray | None = None) -> tuple[list[list[tuple[float, int]]], int]:
         """(Per query, (similarity, row) of its k best rows of positive similarity, best first, ties to the smaller id; query blocks scored)."""
@@ -137,15 +137,15 @@ class BlockMaxIndex:
 
 @dataclass
 class ToxicityModel:
-    """Terms of the sample with their weights, and the examples as unit vectors."""
+    """Terms of the sample with their weights, and the examples: where each begins in `terms` and their `counts`."""
 
-    names: list[str]
+    names: pa.Array
     weights: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     begins: np.ndarray
     terms: np.ndarray
-    values: np.ndarray
+    counts: np.ndarray
     base: float
     k: int = 15
     smooth: float = 0.5
@@ -160,7 +160,10 @@ class ToxicityModel:
     def vector(self, text: str) -> Vector:
         """Terms and weights of the unit vector of a text; as terms_of, by dictionaries of words and of beginnings."""
         if self.places is None:
-            self.places = tuple({t[skip:]: i for i, t in enumerate(self.names) if t[:2] == mark} if mark else {t: i for i, t in enumerate(self.names)} for mark, skip in (("", 0), ("4:", 2), ("5:", 2)))
+            self.places = ({}, {}, {})
+            for i, t in enumerate(self.names.to_pylist()):
+                kind = {"4:": 1, "5:": 2}.get(t[:2], 0)
+                self.places[kind][t[2:] if kind else t] = i
         whole, four, five = (d.get for d in self.places)
         counts: defaultdict[int, int] = defaultdict(int)
         for w, n in Counter(WORD.findall(text.lower())).items():
@@ -180,9 +183,14 @@ class ToxicityModel:
         if not len(self.ids):
             return [[] for _ in vectors]
         if self.index is None:
-            self.index = BlockMaxIndex(self.begins, self.terms, self.values, len(self.names), self.ids)
+            self.index = BlockMaxIndex(self.begins, self.terms, np.concatenate([self.example(i)[1] for i in range(len(self.ids))]), len(self.names), self.ids)
         return self.index.nearest(vectors, self.k, without)[0]
 
+    def example(self, i: int) -> Vector:
+        """The unit vector of an example."""
+        terms = self.terms[self.begins[i] : self.begins[i + 1]]
+        return terms, unit(terms, self.counts[self.begins[i] : self.begins[i + 1]], self.weights)
+
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Similarity-weighted share of label 1, drawn to the base rate where similarities are small."""
         return (sum(s for s, i in found if self.labels[i]) + self.smooth * self.base) / (sum(s for s, _ in found) + self.smooth)
@@ -228,8 +236,8 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for t in terms_of(w):
                     found[t] += n
             terms.append(list(found))
-            counts.append(np.array(list(found.values()), np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(terms, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))], names=["id", "y", "terms", "counts"])
+            counts.append(np.array(list(found.values()), np.int32))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(terms, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))], names=["id", "y", "terms", "counts"])
 
 
 def _vote_rows(model: Broadcast):
@@ -239,8 +247,7 @@ def _vote_rows(model: Broadcast):
             votes: list[float] = []
             for part in slices([batch], QUERIES):
                 rows = part.column("row").to_numpy()
-                vectors = [(m.terms[a:b], m.values[a:b]) for a, b in zip(m.begins[rows], m.begins[rows + 1], strict=True)]
-                votes += map(m.vote, m.nearest(vectors, rows))
+                votes += map(m.vote, m.nearest([m.example(i) for i in rows.tolist()], rows))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(votes, pa.float64())], names=["row", "vote"])
 
     return run
@@ -248,10 +255,10 @@ def _vote_rows(model: Broadcast):
 
 def _empty(base: float) -> ToxicityModel:
     none, whole = np.zeros(0), np.zeros(0, np.int64)
-    return ToxicityModel([], none, whole, whole, np.zeros(1, np.int64), whole, none, base, smooth=1.0)
+    return ToxicityModel(pa.array([], pa.string()), none, whole, whole, np.zeros(1, np.int64), whole, whole, base, smooth=1.0)
 
 
-def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = 800, negatives: int = 2400, prior: float = PRIOR) -> ToxicityModel:
+def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", positives: int = 600, negatives: int = 1800, prior: float = PRIOR) -> ToxicityModel:
     """Fits on about `positives` + `negatives` ids of `labelled` (id, label; all where there are fewer), with their texts from `docs`."""
     spark = docs.sparkSession
     known = labelled.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -260,7 +267,7 @@ def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col:
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
     single = texts.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     sample = single.groupBy("text").agg(F.min("id").cast("long").alias("id"), F.max("y").alias("y")).select("id", "y", "text")
-    rows = sample.mapInArrow(_terms, "id long, y int, terms array<string>, counts array<long>").toArrow().combine_chunks()
+    rows = sample.mapInArrow(_terms, "id long, y int, terms array<string>, counts array<int>").toArrow().combine_chunks()
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     ids, labels = rows["id"].to_numpy(), rows["y"].to_numpy().astype(np.int64)
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
@@ -271,26 +278,22 @@ def fit(labelled: DataFrame, docs: DataFrame, label_col: str = "toxic", id_col:
     lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
     begins = np.asarray(lists[0].offsets).astype(np.int64)
     coded = lists[0].values.dictionary_encode()
-    names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-    counts, row = np.asarray(lists[1].values).astype(np.float64), np.repeat(np.arange(len(ids)), np.diff(begins))
+    names, which = coded.dictionary, coded.indices.to_numpy().copy()
+    counts, row = np.asarray(lists[1].values).astype(np.int32), np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(begins))
+    del rows, lists, coded
     a = np.bincount(which, labels[row], len(names))
     both = np.bincount(which, minlength=len(names)).astype(np.float64)
     gain = information_gain(a, both - a, n1, n0)
     evidence = gain * len(ids)
     weights = (np.log((len(ids) + 1) / (both + 1)) + 1) * gain * evidence / (evidence + prior)
-    raw = (1 + np.log(counts)) * weights[which]
-    size = np.sqrt(np.bincount(row, raw * raw, len(ids)))
-    values = raw / np.where(size > 0, size, 1)[row]
     # Examples of like heaviest term share blocks, which tightens the blocks' bounds.
-    heaviest = np.full(len(ids), -1, np.int64)
-    by_weight = np.argsort(values, kind="stable")
-    heaviest[row[by_weight]] = which[by_weight]
+    vectors = [(which[a:b], counts[a:b]) for a, b in zip(begins, begins[1:], strict=False)]
+    heaviest = [int(t[np.argmax((1 + np.log(n)) * weights[t])]) if len(t) else -1 for t, n in vectors]
     order = np.lexsort([ids, heaviest])
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    entry = np.lexsort([which, place[row]])
-    starts = np.concatenate(([0], np.cumsum(np.diff(begins)[order])))
-    model = ToxicityModel(names, weights, ids[order], labels[order], starts, which[entry], values[entry], base)
+    empty = np.zeros(0, np.int32)
+    model = ToxicityModel(names, weights, ids[order], labels[order], np.concatenate(([0], np.cumsum(np.diff(begins)[order]))), np.concatenate([*(vectors[i][0] for i in order), empty]), np.concatenate([*(vectors[i][1] for i in order), empty]), base)
+    del vectors, which, counts, row
+    pa.default_memory_pool().release_unused()
     sent = spark.sparkContext.broadcast(model)  # bounded by the sample
     own = spark.range(len(ids)).select(F.col("id").alias("row")).mapInArrow(_vote_rows(sent), "row long, vote double").toArrow()
     votes = np.empty(len(ids))
