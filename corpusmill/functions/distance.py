@@ -26,6 +26,11 @@ def jaccard(a, b, n: int) -> Column:
     return let(F.struct(gram_set(a, n).alias("x"), gram_set(b, n).alias("y")), lambda p: _set_distance(p["x"], p["y"], same))
 
 
+def token_jaccard(x: Column, y: Column, n: int, same: Column) -> Column:
+    """Jaccard distance of the sets of n-grams of two word arrays; `same`: whether the texts are equal."""
+    return let(F.struct(F.array_distinct(grams(x, n)).alias("x"), F.array_distinct(grams(y, n)).alias("y")), lambda p: _set_distance(p["x"], p["y"], same))
+
+
 def edit_distance(a, b) -> Column:
     return F.levenshtein(as_text(a), as_text(b)).cast("double")
 
@@ -35,20 +40,28 @@ def _deviation(x: Column, y: Column) -> Column:
     return F.struct(F.when(most > 0, F.abs(x - y) / most).otherwise(F.lit(0.0)).alias("proportion"), F.abs(x - y).cast("long").alias("count"))
 
 
+def _sizes(c) -> Column:
+    """Lines, words and characters of a text in ASCII, which is made once."""
+    return let(transliterate(as_text(c)), lambda t: F.struct(F.size(lines(t)).alias("lines"), F.size(words(t)).alias("words"), F.char_length(t).alias("characters")))
+
+
+def deviations(a, b) -> Column:
+    """struct(lines, words, characters) of struct(proportion, count): how far two texts differ in size."""
+    units = ("lines", "words", "characters")
+    return let(F.struct(_sizes(a).alias("x"), _sizes(b).alias("y")), lambda p: F.struct(*[_deviation(p["x"][u], p["y"][u]).alias(u) for u in units]))
+
+
 def deviated_lines(a, b) -> Column:
     """struct(proportion, count): difference in lines."""
-    n = lambda c: F.size(lines(transliterate(as_text(c))))
-    return let(F.struct(n(a).alias("x"), n(b).alias("y")), lambda p: _deviation(p["x"], p["y"]))
+    return deviations(a, b)["lines"]
 
 
 def deviated_words(a, b) -> Column:
-    n = lambda c: F.size(words(transliterate(as_text(c))))
-    return let(F.struct(n(a).alias("x"), n(b).alias("y")), lambda p: _deviation(p["x"], p["y"]))
+    return deviations(a, b)["words"]
 
 
 def deviated_characters(a, b) -> Column:
-    n = lambda c: F.char_length(transliterate(as_text(c)))
-    return let(F.struct(n(a).alias("x"), n(b).alias("y")), lambda p: _deviation(p["x"], p["y"]))
+    return deviations(a, b)["characters"]
 
 
 def reduce_chunks(scores: Column, operation: str) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .distance import jaccard
-from .text import as_text, java, let, lines, matches, strip, transliterate, word_count
+from .distance import jaccard, token_jaccard
+from .text import as_text, java, let, lines, matches, strip, transliterate, word_count, words
 
 # The phrases that mark failed generations.
 REFUSAL = (
@@ -74,7 +74,10 @@ def is_near_duplicate(original, c, threshold: float = 0.9, n: int = 1) -> Column
 
 
 def has_insufficient_jaccard_distance(original, c, unigram: float = 0.025, bigram: float = 0.05) -> Column:
-    return (jaccard(original, c, 1) <= unigram) & (jaccard(original, c, 2) <= bigram)
+    same = strip(as_text(original)) == strip(as_text(c))
+    near = lambda p, n, most: token_jaccard(p["x"], p["y"], n, same) <= most
+    pair = F.struct(words(original).alias("x"), words(c).alias("y"))
+    return let(pair, lambda p: F.when(near(p, 1, unigram), near(p, 2, bigram)).otherwise(F.lit(False)))
 
 
 def has_length_anomaly(original, c, min_ratio: float = 0.1, max_ratio: float = 5.0) -> Column:
@@ -109,7 +112,10 @@ def loose_subset(a, b) -> Column:
         ca, cb = pair["ca"], pair["cb"]
         at = F.position(cb, ca)
         found = (cb != "") & (at > 0)
-        places = F.flatten(F.transform(F.split(source, ""), lambda ch, i: F.array_repeat(i, F.char_length(_canonical(ch)))))
+        each = F.split(source, "")
+        plain = F.transform(each, lambda ch, i: F.array_repeat(i, F.when(ch.rlike(r"[\s\x1c-\x1f]"), F.lit(0)).otherwise(F.lit(1))))
+        marked = F.transform(each, lambda ch, i: F.array_repeat(i, F.char_length(_canonical(ch))))
+        places = F.flatten(F.when(source.rlike(r"[^\x00-\x7F]"), marked).otherwise(plain))
         cut = let(places, lambda p: F.substr(source, F.get(p, at - 1) + 1, F.get(p, at + F.char_length(cb) - 2) - F.get(p, at - 1) + 1))
         return F.struct(found.alias("found"), F.when(found, cut).otherwise(F.lit("")).alias("slice"))
 

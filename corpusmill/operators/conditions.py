@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import as_text, word_count
-from .rank import row_positions
+from .rank import first_rows
 
 ORDER = {">": lambda a, b: a > b, "<": lambda a, b: a < b, ">=": lambda a, b: a >= b, "<=": lambda a, b: a <= b}
 
@@ -71,7 +71,7 @@ def first_fitting(df: DataFrame, order: str, text: str, max_words: int, most: in
     fits = df.where(word_count(text) <= max_words)
     if most is None:
         return fits
-    return row_positions(fits, order, "_pos").where(F.col("_pos") < most).drop("_pos")
+    return first_rows(fits, order, most)
 
 
 def checked_select(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -96,8 +96,7 @@ def filter_reason(df: DataFrame, conditions: Sequence[tuple[str, str, Any]], non
 
 def joined_reasons(flags: dict[str, Column]) -> Column:
     """Names of the true flags in their order, or null."""
-    named = F.filter(F.array(*[F.when(f, F.lit(n)) for n, f in flags.items()]), lambda x: x.isNotNull())
-    return F.when(F.exists(F.array(*flags.values()), lambda x: x), F.array_join(named, ", "))
+    return F.nullif(F.concat_ws(", ", *[F.when(f, F.lit(n)) for n, f in flags.items()]), F.lit(""))
 
 
 def reason_counts(df: DataFrame, flags: dict[str, Column]) -> DataFrame:

@@ -241,9 +241,9 @@ def j7_token_weights(spark, sf_dir):
 GRAM2_SQL = f"(SELECT doc_id, array_to_string(list_slice(w, i, i + 1), ' ') AS gram FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS i FROM (SELECT doc_id, {WORDS('text')} AS w FROM documents) WHERE len(w) >= 2))"
 
 
-@query(f"SELECT gram, count(*) AS n FROM {GRAM2_SQL} GROUP BY 1 HAVING count(*) >= 5")
+@query(f"SELECT gram, count(*) AS n FROM {GRAM2_SQL} GROUP BY 1")
 def g1_global_ngrams(spark, sf_dir):
-    return aggregate.global_ngrams(read(spark, sf_dir, "documents"), "text", 2).where("n >= 5")
+    return aggregate.global_ngrams(read(spark, sf_dir, "documents"), "text", 2)
 
 
 @query(f"SELECT doc_id, count(*) AS grams, max(n) AS most FROM (SELECT doc_id, gram, count(*) AS n FROM {GRAM2_SQL} GROUP BY 1, 2) GROUP BY 1")
@@ -491,8 +491,7 @@ LINES = lambda c: f"CASE WHEN {c} = '' THEN 0 ELSE len(string_split(regexp_repla
 @query(f"SELECT row_id, {_deviation_sql('deviated_lines', lambda c: f'({LINES(c)})')}, {_deviation_sql('deviated_words', lambda c: f'len({WORDS(c)})')}, {_deviation_sql('deviated_characters', lambda c: f'len({c})')} FROM {CHANGED_SQL}")
 def d3_deviations(spark, sf_dir):
     df = changed_pairs(spark, sf_dir)
-    out = [f("original", "final_response").alias(n) for n, f in (("lines", distance.deviated_lines), ("words", distance.deviated_words), ("characters", distance.deviated_characters))]
-    return df.select("row_id", *out).select("row_id", *[c for n in ("lines", "words", "characters") for c in (F.col(f"{n}.count").alias(f"deviated_{n}"), r6(f"{n}.proportion").alias(f"deviated_{n}_proportion"))])
+    return df.select("row_id", distance.deviations("original", "final_response").alias("d")).select("row_id", "d.*").select("row_id", *[c for n in ("lines", "words", "characters") for c in (F.col(f"{n}.count").alias(f"deviated_{n}"), r6(f"{n}.proportion").alias(f"deviated_{n}_proportion"))])
 
 
 @query(f"""SELECT row_id, len(c) AS chunks, sha256(array_to_string(c, '|')) AS digest FROM (
@@ -502,7 +501,15 @@ def d8_window_chunks(spark, sf_dir):
     return out.select("row_id", F.size("c").cast("long").alias("chunks"), F.sha2(F.array_join("c", "|"), 256).alias("digest"))
 
 
-@query()
+CHUNKS_SQL = f"(SELECT row_id, " + ", ".join(f"list_transform(generate_series(1, len({c}), 20), lambda i: list_slice({c}, i, i + 19)) AS {c}" for c in "ab") + f" FROM (SELECT row_id, {WORDS('original')} AS a, {WORDS('final_response')} AS b FROM {CONV_SQL}))"
+CHUNK_JACCARDS_SQL = "list_transform(a, lambda x: 1 - len(list_intersect(list_distinct(x), list_distinct(y)))::DOUBLE / len(list_distinct(list_concat(x, y))))"
+
+
+def _per_chunk(reduce: str, alone: str) -> str:
+    return f"array_to_string(list_transform(b, lambda y: CAST(round(CASE WHEN len(a) = 0 THEN {alone} ELSE {reduce} END, 6) AS VARCHAR)), ',')"
+
+
+@query("SELECT row_id, " + ", ".join(f'{_per_chunk(f"list_{f}({CHUNK_JACCARDS_SQL})", "1.0")} AS "{n}"' for n, f in (("max", "max"), ("min", "min"), ("mean", "avg"))) + f" FROM {CHUNKS_SQL}")
 def d6_chunked_jaccards(spark, sf_dir):
     df = conv_pairs(spark, sf_dir).select("row_id", distance.window_chunks("original", 20, 20).alias("a"), distance.window_chunks("final_response", 20, 20).alias("b"))
     return df.select("row_id", *[F.array_join(F.transform(distance.chunked_jaccards("a", "b", 1, op), lambda x: F.round(x, 6).cast("string")), ",").alias(op) for op in ("max", "min", "mean")])
@@ -548,7 +555,11 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "embeddings").select("vec_id", cut(1).alias("a"), cut(33).alias("b"))
 
 
-@query()
+PARTS_SQL = "(SELECT vec_id, " + ", ".join(f"list_transform(generate_series({lo}, {lo + 24}, 8), lambda i: list_slice(embedding, i, i + 7)::DOUBLE[]) AS {n}" for n, lo in (("a", 1), ("b", 33))) + " FROM embeddings)"
+
+
+@query(f"""SELECT vec_id, round(1 - p, 6) AS precision, round(1 - r, 6) AS recall, round(1 - CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM (
+    SELECT vec_id, list_avg(list_transform(b, lambda y: list_max(list_transform(a, lambda x: list_dot_product(x, y))))) AS p, list_avg(list_transform(a, lambda x: list_max(list_transform(b, lambda y: list_dot_product(x, y))))) AS r FROM {PARTS_SQL})""")
 def v5_bert_score(spark, sf_dir):
     return _parts(spark, sf_dir).select("vec_id", vectors.bert_score("a", "b").alias("s")).select("vec_id", *[r6(f"s.{c}").alias(c) for c in ("precision", "recall", "f1")])
 
@@ -558,7 +569,7 @@ def v6_mover_distance(spark, sf_dir):
     return _parts(spark, sf_dir).select("vec_id", r6(models.mover_distance(F.col("a"), F.col("b"))).alias("d"))
 
 
-@query()
+@query("SELECT vec_id, " + ", ".join(f'{_per_chunk(f"list_{f}(list_transform(a, lambda x: 1 - list_dot_product(x, y)))", "1.0")} AS "{n}"' for n, f in (("max", "max"), ("min", "min"), ("mean", "avg"))) + f" FROM {PARTS_SQL}")
 def v7_cosine_chunks(spark, sf_dir):
     return _parts(spark, sf_dir).select("vec_id", *[F.array_join(F.transform(vectors.cosine_distance_chunked("a", "b", op), lambda x: F.round(x, 6).cast("string")), ",").alias(op) for op in ("max", "min", "mean")])
 

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.rank import row_positions
+from ..operators.rank import first_rows
 
 KEPT, TRASHED = "kept", "trashed"
 
@@ -25,7 +25,7 @@ def shard_path(base: str, i: int) -> str:
 def read_capped(spark: SparkSession, path: str, rows: int | None, order: str) -> DataFrame:
     """A source and its first rows, in order of a numeric column."""
     df = spark.read.parquet(path)
-    return df if rows is None else row_positions(df, order, "_pos").where(F.col("_pos") < rows).drop("_pos")
+    return df if rows is None else first_rows(df, order, rows)
 
 
 def round_robin(df: DataFrame, shards: int, row_id: str = "row_id") -> DataFrame:
@@ -103,5 +103,17 @@ def kind_of(config_folder: str) -> str:
 
 
 def read_splits(spark: SparkSession, base: str, seed: int, splits: Iterable[str] = ("train", "val")) -> list[DataFrame]:
-    """Training splits in a seeded random order."""
-    return [spark.read.parquet(f"{base}/{s}").orderBy(F.rand(seed)) for s in splits]
+    """Training splits in a seeded random order: dealt to tasks and sorted in each by a seeded hash of the row."""
+
+    def shuffled(df: DataFrame) -> DataFrame:
+        mixed = df.withColumn("_order", F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]))
+        return mixed.repartition("_order").sortWithinPartitions("_order").drop("_order")
+
+    return [shuffled(spark.read.parquet(f"{base}/{s}")) for s in splits]
+
+
+def delete_dataset(spark: SparkSession, path: str, confirmed: bool) -> bool:
+    """Deletes one dataset folder if that was confirmed; says whether it was there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(confirmed and files.exists(where) and files.delete(where, True))
