@@ -42,7 +42,7 @@ TOPICS: tuple[tuple[int, str], ...] = (
     (1, "payday loan loans forex ponzi doubler scam fraud fake counterfeit replica"),
     (0, "news daily times herald post journal press magazine weather report sports football rugby tennis league club"),
     (0, "science research physics chemistry biology nature university college school library academy learning education teacher students"),
-    (0, "health hospital clinic doctor medicine nursing care dental family children parents baby garden farm dairy flowers"),
+    (0, "health hospital clinic doctor medicine nursing care dental family children parents baby garden dairy flowers"),
     (0, "cooking recipes kitchen food bread wine restaurant cafe travel hotel tours island beach mountain railway airport"),
     (0, "music film theatre museum gallery art painting photo history archive heritage books poetry writers language dictionary"),
     (0, "government council city law court police tax election parliament church community charity volunteers"),

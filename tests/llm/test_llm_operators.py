@@ -364,7 +364,7 @@ def test_url_scores_by_brute_force():
     def share(word, label):
         return (sum(x == (label, word) for x in train) + 0.1) / (sum(y == label for y, _ in train) + 0.1 * len(vocabulary))
 
-    for host, path in (("www.bigcasino.example.com", "/en/poker"), ("gardentips.net", ""), ("", ""), ("spam.news.org", "/a1b/Loan"), ("a.b", "/farm/farm/malware")):
+    for host, path in (("www.bigcasino.example.com", "/en/poker"), ("gardentips.net", ""), ("", ""), ("spam.news.org", "/a1b/Loan"), ("a.b", "/dairy/garden/malware")):
         block, allow = 0.1, 0.9
         for w in model.words(host, path):
             if w in vocabulary:
