@@ -113,7 +113,7 @@ def loose_subset(a, b) -> Column:
         at = F.position(cb, ca)
         found = (cb != "") & (at > 0)
         each = F.split(source, "")
-        plain = F.transform(each, lambda ch, i: F.array_repeat(i, F.when(ch.rlike(r"[\s\x1c-\x1f]"), F.lit(0)).otherwise(F.lit(1))))
+        plain = F.transform(each, lambda ch, i: F.array_repeat(i, F.when(F.ascii(ch).between(9, 13) | F.ascii(ch).between(28, 32), F.lit(0)).otherwise(F.lit(1))))
         marked = F.transform(each, lambda ch, i: F.array_repeat(i, F.char_length(_canonical(ch))))
         places = F.flatten(F.when(source.rlike(r"[^\x00-\x7F]"), marked).otherwise(plain))
         cut = let(places, lambda p: F.substr(source, F.get(p, at - 1) + 1, F.get(p, at + F.char_length(cb) - 2) - F.get(p, at - 1) + 1))
