@@ -9,7 +9,8 @@ which leaves exact occurrences only. `proximity_matches` answers from the same i
 
 The tables of test terms and phrases are broadcast only within `BROADCAST_ROWS` and `BROADCAST_BYTES`,
 both measured; beyond, the join on the term is salted, so a very common term is dealt to many tasks.
-Starts are spread by document and position in all later joins.
+Starts are spread by document and position in all later joins. `contamination` indexes equal texts
+(by SHA-256) once, so a group of copies costs one; its rows take the answer by a salted join.
 
 Defined cases: null text or no words: n_words 0, never hit. Null or wordless items have no windows.
 Equal rows of `documents` give equal results, one each; rows of one id but different texts are
@@ -127,11 +128,17 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, slop: int) -> DataFr
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 10) -> DataFrame:
     """Per input row: id, fp (xxhash64 of its text), n_words, n_hit, n_items, items (sorted), items_sha256, contaminated."""
     windows = cut(windows_of(items, text_col=text_col, length=length))
-    index = build_index(docs, windows.select(F.explode("window").alias("term")).distinct(), id_col, text_col)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    digest = F.sha2(text, 256).alias("digest")
+    rows = shared_table(docs.select(*key_columns(id_col, text_col), digest, F.size(tokens(text)).cast("long").alias("n_words")), "decontaminate-rows")
+    # Equal texts are indexed once, under the least id, and share the answer.
+    texts = docs.select(F.col(id_col).cast("long").alias(id_col), text.alias(text_col), digest).groupBy("digest").agg(F.min(id_col).alias(id_col), F.first(text_col).alias(text_col))
+    index = build_index(texts, windows.select(F.explode("window").alias("term")).distinct(), id_col, text_col)
     per = phrase_matches(index, windows).groupBy(*KEYS).agg(F.collect_set(F.struct("start", "length")).alias("spots"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     hit = F.array_distinct(F.flatten(F.transform("spots", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))))
-    found = per.select(*KEYS, F.size(hit).cast("long").alias("n_hit"), "items")
-    rows = docs.select(*key_columns(id_col, text_col), F.size(tokens(F.col(text_col))).cast("long").alias("n_words")).join(found, KEYS, "left")
+    first = rows.groupBy("digest", "fp").agg(F.min("k").alias("k"))
+    found = shared_table(first.join(per.select(*KEYS, F.size(hit).cast("long").alias("n_hit"), "items"), KEYS).select("digest", "n_hit", "items"), "decontaminate-found")
+    rows = salted_join(rows, found, ["digest"], "left")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
         F.when(F.col("k") != NO_ID, F.col("k")).alias(id_col), "fp", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_of).cast("long").alias("n_items"), items_of.alias("items"),

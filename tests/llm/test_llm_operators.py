@@ -260,6 +260,18 @@ def brute_contamination(rows, items, length=10):
     return sorted(out, key=str)
 
 
+def test_contamination_of_copies(spark):
+    """Two thirds of the rows are copies, some of them equal rows or without an id; the hot group's join is salted."""
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"v{rng.randrange(300)}" for _ in range(n))
+    items = [(1, text(14)), (2, text(4)), (3, text(30))]
+    copy = text(8) + " " + items[0][1].upper() + " " + text(5) + " " + items[2][1][20:]
+    rows = [(i, copy) for i in range(100, 1300)] + [(100, copy), (None, copy), (None, copy), (7, copy + " end"), (100, text(20))]
+    rows += [(2000 + i, text(15) + " " + items[i % 3][1]) for i in range(300)] + [(3000 + i, None if i % 2 else "") for i in range(300)]
+    out = decontaminate.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).drop("items", "fp")
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute_contamination(rows, items)
+
+
 def test_contamination(spark):
     rng = random.Random(4)
     items = [(i, " ".join(f"q{rng.randrange(30)}" for _ in range(rng.choice((0, 1, 3, 9, 10, 25))))) for i in range(12)] + [(100, None), (101, "!!"), (3, "Dup; É x")]
