@@ -1,11 +1,11 @@
 """Benchmark decontamination with a stored positional inverted index, in DataFrame operations only.
 
 `build_index` stores the postings (term, k, fp, pos) of the training tokens (k, fp: the document's
-keys), of all terms or of the test terms only, sorted by term within each file. `phrase_matches`
-answers phrases from the index alone: the terms of each phrase are ranked by their number of
-postings; the postings of the rarest, less its offset in the phrase, are the candidate starts; the
-list of the second, adjusted by its offset, is intersected with them, then those of all other terms,
-which leaves exact occurrences only. `proximity_matches` answers from the same index.
+keys), of all terms or of the test terms only. `phrase_matches` answers phrases from the index
+alone: the terms of each phrase are ranked by their number of postings; the postings of the rarest,
+less its offset in the phrase, are the candidate starts; the list of the second, adjusted by its
+offset, is intersected with them, then those of all other terms, which leaves exact occurrences
+only. `proximity_matches` answers from the same index.
 
 The tables of test terms and phrases are broadcast only within `BROADCAST_ROWS` and `BROADCAST_BYTES`,
 both measured; beyond, the join on the term is salted, so a very common term is dealt to many tasks.
@@ -27,13 +27,24 @@ from .common import KEYS, NO_ID, cut, key_columns, salted_join, shared_table
 #: A table of terms or windows is sent to all executors up to so many rows and bytes of text.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same for texts with A-Z still in them.
+NOT_WORD_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def tokens(c: Column) -> Column:
     """Words of a text: A-Z lower-cased, runs of ASCII letters and digits and of all non-ASCII characters."""
     low = F.translate(F.coalesce(c.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return _split(low, NOT_WORD)
+
+
+def n_words(c: Column) -> Column:
+    """How many words `tokens` finds; no text is lower-cased for it."""
+    return F.size(_split(F.coalesce(c.cast("string"), F.lit("")), NOT_WORD_ANY_CASE)).cast("long")
+
+
+def _split(c: Column, between: str) -> Column:
     # With white space at its ends, a text splits into an empty piece, its words, and an empty piece.
-    parts = F.split(F.concat(F.lit(" "), low, F.lit(" ")), NOT_WORD)
+    parts = F.split(F.concat(F.lit(" "), c, F.lit(" ")), between)
     return F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
 
 
@@ -73,9 +84,13 @@ def _intersect(starts: DataFrame, index: DataFrame, ranked: DataFrame, broadcast
     known = ranked.where(F.size("terms") < begin).select("wid")
     side = (lambda df: F.broadcast(df)) if broadcast else (lambda df: df)
     # Only the postings of these terms in documents that have a start are read on.
-    lists = index.join(side(wanted.select(F.explode("terms.term").alias("term")).distinct()), "term", "left_semi").join(starts.select(*KEYS).distinct(), KEYS, "left_semi").distinct()
+    lists = index.join(side(wanted.select(F.explode("terms.term").alias("term")).distinct()), "term", "left_semi").join(starts.select(*KEYS).distinct(), KEYS, "left_semi")
     needed = starts.join(side(wanted), "wid").select("wid", *KEYS, "start", F.size("terms").alias("need"), F.explode("terms").alias("t")).select("wid", *KEYS, "start", "need", (F.col("start") + F.col("t.before")).alias("pos"), F.col("t.term").alias("term"))
-    met = needed.join(lists, [*KEYS, "pos", "term"]).groupBy("wid", *KEYS, "start", "need").agg(F.count(F.lit(1)).alias("n")).where("n = need").select("wid", *KEYS, "start")
+    # Windows overlap; each word of a document is looked up once for all starts that need it there.
+    place = [*KEYS, "pos", "term"]
+    asked = needed.groupBy(*place).agg(F.collect_list(F.struct("wid", "start", "need")).alias("by"))
+    held = asked.join(lists, place, "left_semi").select(*KEYS, F.explode("by").alias("s"))
+    met = held.groupBy("s.wid", *KEYS, "s.start", "s.need").agg(F.count(F.lit(1)).alias("n")).where("n = need").select("wid", *KEYS, "start")
     return met.unionByName(starts.join(side(known), "wid", "left_semi").select("wid", *KEYS, "start"))
 
 
