@@ -63,11 +63,12 @@ def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stored postings (term, k, fp, pos) of all tokens, or of the given distinct terms only."""
-    postings = docs.select(*key_columns(id_col, text_col), F.posexplode(tokens(F.col(text_col))).alias("pos", "term"))
+    # The keys are columns before the words are exploded; in one step the text would be hashed again for every word.
+    postings = docs.select(*key_columns(id_col, text_col), tokens(F.col(text_col)).alias("words")).select(*KEYS, F.posexplode("words").alias("pos", "term"))
     if terms is not None:
         terms = cut(terms)
         postings = postings.join(F.broadcast(terms) if is_small(terms, F.col("term")) else terms, "term", "left_semi")
-    return shared_table(postings.select("term", *KEYS, "pos").sortWithinPartitions("term", *KEYS, "pos"), "postings")
+    return shared_table(postings.select("term", *KEYS, "pos"), "postings")
 
 
 def _ranked_terms(index: DataFrame, windows: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     per = phrase_matches(index, windows).groupBy(*KEYS).agg(F.collect_set(F.struct("start", "length")).alias("spots"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     hit = F.array_distinct(F.flatten(F.transform("spots", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))))
     found = per.select(*KEYS, F.size(hit).cast("long").alias("n_hit"), "items")
-    rows = docs.select(*key_columns(id_col, text_col), F.size(tokens(F.col(text_col))).cast("long").alias("n_words")).join(found, KEYS, "left")
+    rows = docs.select(*key_columns(id_col, text_col), n_words(F.col(text_col)).alias("n_words")).join(found, KEYS, "left")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
         F.when(F.col("k") != NO_ID, F.col("k")).alias(id_col), "fp", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_of).cast("long").alias("n_items"), items_of.alias("items"),
