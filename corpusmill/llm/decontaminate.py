@@ -84,8 +84,9 @@ def _intersect(starts: DataFrame, index: DataFrame, ranked: DataFrame, broadcast
     wanted = ranked.select("wid", F.slice("terms", begin, count).alias("terms")).where(F.size("terms") > 0)
     known = ranked.where(F.size("terms") < begin).select("wid")
     side = (lambda df: F.broadcast(df)) if broadcast else (lambda df: df)
-    # Only the postings of these terms in documents that have a start are read on.
-    lists = index.join(side(wanted.select(F.explode("terms.term").alias("term")).distinct()), "term", "left_semi").join(starts.select(*KEYS).distinct(), KEYS, "left_semi")
+    # Only the postings of these terms in documents that have a start are read on. Documents with a start grow with
+    # the corpus, so they are never sent to all executors, whatever the planner makes of a small input.
+    lists = index.join(side(wanted.select(F.explode("terms.term").alias("term")).distinct()), "term", "left_semi").join(starts.select(*KEYS).distinct().hint("merge"), KEYS, "left_semi")
     needed = starts.join(side(wanted), "wid").select("wid", *KEYS, "start", F.size("terms").alias("need"), F.explode("terms").alias("t")).select("wid", *KEYS, "start", "need", (F.col("start") + F.col("t.before")).alias("pos"), F.col("t.term").alias("term"))
     # Windows overlap; each word of a document is looked up once for all starts that need it there.
     place = [*KEYS, "pos", "term"]
