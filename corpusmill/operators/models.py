@@ -28,6 +28,12 @@ class Embedder(Protocol):
     def embed(self, texts: Sequence[str]) -> np.ndarray: ...
 
 
+class SpanEmbedder(Embedder, Protocol):
+    """An embedder that can give the vectors of all phrases_of(" ".join(words)) without the phrases themselves, in their order."""
+
+    def embed_spans(self, words: Sequence[str], shortest: int, longest: int) -> np.ndarray: ...
+
+
 class TokenEmbedder(Protocol):
     def embed_tokens(self, texts: Sequence[str]) -> tuple[list[np.ndarray], list[list[str]]]: ...
 
@@ -53,10 +59,13 @@ def _crc(text: str) -> int:
 
 
 class HashEmbedder:
-    """Stand-in: unit vectors of hashed words."""
+    """Stand-in: unit vectors of hashed words. embed_spans remembers the vectors of some MOST_WORDS words."""
+
+    MOST_WORDS = 50_000
 
     def __init__(self, dim: int = 32):
         self.dim = dim
+        self.known: dict[str, np.ndarray] = {}
 
     def word(self, word: str) -> np.ndarray:
         v = np.random.default_rng(_crc(word.lower())).standard_normal(self.dim)
@@ -75,6 +84,25 @@ class HashEmbedder:
             out[i] = v / size if size else 0.0
         return out
 
+    def embed_spans(self, words: Sequence[str], shortest: int, longest: int) -> np.ndarray:
+        if not words:
+            return np.zeros((0, self.dim))
+        if len(self.known) > self.MOST_WORDS:
+            self.known.clear()
+        for w in words:
+            if w not in self.known:
+                self.known[w] = self.word(w)
+        each = np.array([self.known[w] for w in words])
+        sums, out = each, []  # of n words each: a word more per round, added in the order of embed
+        for n in range(1, min(len(words), longest) + 1):
+            if n > 1:
+                sums = sums[:-1] + each[n - 1 :]
+            if n >= min(len(words), shortest):
+                out.append(sums)
+        made = np.concatenate(out)
+        size = np.sqrt(np.einsum("ij,ij->i", made, made))[:, None]
+        return np.divide(made, size, out=made, where=size > 0)
+
     def embed_tokens(self, texts: Sequence[str]) -> tuple[list[np.ndarray], list[list[str]]]:
         tokens = [(t or "").split() for t in texts]
         return [np.stack([self.word(w) for w in ws]) if ws else np.zeros((0, self.dim)) for ws in tokens], tokens
@@ -181,8 +209,24 @@ def phrases_of(text: str | None, shortest: int = 6, longest: int = 12) -> list[s
     return [" ".join(w[i : i + n]) for n in range(min(len(w), shortest), min(len(w), longest) + 1) for i in range(len(w) - n + 1)] if w else []
 
 
-def soft_phrase_distance(a: Column, b: Column, make: Callable[[], Embedder], threshold: float = 0.8, rows: int = 100, cells: int = 1 << 22) -> Column:
-    """vectors.soft_phrase_distance over all phrases of two texts; `rows` pairs embed each distinct phrase once, products go in blocks of `cells`."""
+def phrase_vectors(model: Embedder, pairs: Sequence[tuple[str | None, str | None]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per pair: vectors of the phrases of both texts, and how often each of the second's occurs. A SpanEmbedder gives
+    every occurrence its row; any other embeds each distinct phrase of the pairs once."""
+    if hasattr(model, "embed_spans"):
+        for pair in pairs:
+            u, v = (model.embed_spans((t or "").split(), 6, 12) for t in pair)
+            yield u, v, np.ones(len(v), int)
+        return
+    counted = [tuple(Counter(phrases_of(t)) for t in pair) for pair in pairs]
+    index = {p: i for i, p in enumerate(dict.fromkeys(p for pair in counted for side in pair for p in side))}
+    made = np.asarray(model.embed(list(index)), float) if index else np.zeros((0, 1))
+    for source, edit in counted:
+        u, v = (made[np.fromiter((index[p] for p in side), int, len(side))] for side in (source, edit))
+        yield u, v, np.fromiter(edit.values(), int, len(edit))
+
+
+def soft_phrase_distance(a: Column, b: Column, make: Callable[[], Embedder], threshold: float = 0.8, rows: int = 100, cells: int = 1 << 20) -> Column:
+    """vectors.soft_phrase_distance over all phrases of two texts; `rows` pairs are embedded at once, products go in blocks of `cells`."""
 
     @F.pandas_udf(T.DoubleType())
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -190,19 +234,14 @@ def soft_phrase_distance(a: Column, b: Column, make: Callable[[], Embedder], thr
         for x, y in batches:
             out = []
             for at in range(0, len(x), rows):
-                pairs = [(Counter(phrases_of(s)), Counter(phrases_of(t))) for s, t in zip(x.iloc[at : at + rows], y.iloc[at : at + rows], strict=True)]
-                index = {p: i for i, p in enumerate(dict.fromkeys(p for pair in pairs for side in pair for p in side))}
-                made = np.asarray(model.embed(list(index)), float) if index else None
-                for source, edit in pairs:
-                    if not source or not edit:
+                for u, v, n in phrase_vectors(model, list(zip(x.iloc[at : at + rows], y.iloc[at : at + rows], strict=True))):
+                    if not len(u) or not len(v):
                         out.append(1.0)
                         continue
-                    u, v = made[[index[p] for p in source]], made[[index[p] for p in edit]]
                     hit = np.zeros(len(v), bool)
                     step = max(1, cells // len(v))
                     for i in range(0, len(u), step):
                         hit |= (u[i : i + step] @ v.T >= threshold).any(0)
-                    n = np.fromiter(edit.values(), int, len(edit))
                     out.append(1 - int(n[hit].sum()) / int(n.sum()))
             yield pd.Series(out, dtype=float)
 
