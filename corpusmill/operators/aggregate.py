@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations_with_replacement
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clean import message_lines
-from ..functions.text import let, ngrams, word_count, words
+from ..functions.text import as_text, let, ngrams, word_count, words
+from .joins import BROADCAST_ROWS
 
 NAN = float("nan")
 
@@ -22,14 +26,73 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) != float("inf")), d)
 
 
+#: Rows whose texts a worker takes up at once; grams and characters of text after which it hands counts on.
+SLICE_ROWS, FLUSH_GRAMS, FLUSH_CHARS = 500, 50_000, 1 << 22
+#: Bytes of keys up to which a table of keys is broadcast.
+BROADCAST_KEY_BYTES = 1 << 23
+
+
+def texts_of(column: pa.Array) -> list[str]:
+    """The texts of a string column, null as empty; bytes that are no UTF-8 become replacement characters."""
+    try:
+        return [t or "" for t in column.to_pylist()]
+    except UnicodeDecodeError:
+        return [(t or b"").decode(errors="replace") for t in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
+
+
+def grams_of(w: list[str], n: int) -> Iterable[str]:
+    """text.grams of a list of words."""
+    return w if n == 1 else map(" ".join, zip(*(w[i:] for i in range(n)), strict=False))
+
+
+def row_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """(key, gram, n): word n-grams of each row, counted before they leave it."""
+    kind = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                at, grams, counts, chars = [], [], [], 0
+
+                def made(at: list[int], grams: list[str], counts: list[int], keys: pa.Array = batch.column(0)) -> Iterator[pa.RecordBatch]:
+                    for i in range(0, len(grams), FLUSH_GRAMS):
+                        yield pa.RecordBatch.from_arrays([keys.take(pa.array(at[i : i + FLUSH_GRAMS], pa.int32())), pa.array(grams[i : i + FLUSH_GRAMS], pa.string()), pa.array(counts[i : i + FLUSH_GRAMS], pa.int64())], [key, "gram", "n"])
+
+                for i, t in enumerate(texts_of(batch.column(1))):
+                    c = Counter(grams_of(t.split(), n))
+                    at += [i] * len(c)
+                    grams += c
+                    counts += c.values()
+                    chars += len(t)
+                    if len(grams) >= FLUSH_GRAMS or chars >= FLUSH_CHARS:
+                        yield from made(at, grams, counts)
+                        at, grams, counts, chars = [], [], [], 0
+                yield from made(at, grams, counts)
+
+    return df.select(key, as_text(text).alias("_text")).mapInArrow(run, kind)
+
+
 def global_ngrams(df: DataFrame, text: str, n: int) -> DataFrame:
     """(gram, n): word n-grams over all texts."""
     return df.select(F.explode(ngrams(text, n)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def text_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(key, gram, n): word n-grams of each text."""
-    return df.select(key, F.explode(ngrams(text, n)).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
+    """(key, gram, n): word n-grams of each text; the texts of a repeated key count as one.
+
+    Only the grams of repeated keys are grouped across rows, so a table of unique keys is not shuffled by its grams.
+    """
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    size = repeated.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("bytes")).first()
+    if not size["n"]:
+        return row_ngrams(df, key, text, n)
+    if size["n"] > BROADCAST_ROWS or size["bytes"] > BROADCAST_KEY_BYTES:
+        return row_ngrams(df, key, text, n).groupBy(key, "gram").agg(F.sum("n").alias("n"))
+    again = F.broadcast(repeated.withColumnRenamed(key, "_key"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    more = row_ngrams(df.join(again, same, "left_semi"), key, text, n).groupBy(key, "gram").agg(F.sum("n").alias("n"))
+    return row_ngrams(df.join(again, same, "left_anti"), key, text, n).unionByName(more)
 
 
 def unigram_sums(df: DataFrame, text: str, out: str, hot: int = 1000) -> DataFrame:
