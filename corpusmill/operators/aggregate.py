@@ -28,6 +28,8 @@ def finite(c: Column) -> Column:
 
 #: Rows whose texts a worker takes up at once; grams and characters of text after which it hands counts on.
 SLICE_ROWS, FLUSH_GRAMS, FLUSH_CHARS = 500, 50_000, 1 << 22
+#: So many times both for counts over many texts, where longer pieces repeat more.
+PIECES = 4
 #: Bytes of keys up to which a table of keys is broadcast.
 BROADCAST_KEY_BYTES = 1 << 23
 
@@ -74,8 +76,26 @@ def row_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
 
 
 def global_ngrams(df: DataFrame, text: str, n: int) -> DataFrame:
-    """(gram, n): word n-grams over all texts."""
-    return df.select(F.explode(ngrams(text, n)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    """(gram, n): word n-grams over all texts, counted within pieces of a task's rows first.
+
+    The workers' counts stand for the partial aggregation; grams hardly repeat beyond them, so they are dealt out at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, chars = Counter(), 0
+        made = lambda c: pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["gram", "n"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                for t in texts_of(whole.column(0).slice(start, SLICE_ROWS)):
+                    counts.update(grams_of(t.split(), n))
+                    chars += len(t)
+                    if len(counts) >= PIECES * FLUSH_GRAMS or chars >= PIECES * FLUSH_CHARS:
+                        yield made(counts)
+                        counts, chars = Counter(), 0
+        if counts:
+            yield made(counts)
+
+    return df.select(as_text(text).alias("_text")).mapInArrow(run, "gram string, n bigint").repartition("gram").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def text_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:

@@ -36,6 +36,11 @@ def test_ngrams(spark, rows, n, monkeypatch):
     assert sorted(map(str, aggregate.text_ngrams(df, "k", "t", n).collect())) == sorted(f"Row(k={k}, gram={g!r}, n={c})" for k, g, c in got)
 
 
+def test_invalid_bytes_are_counted(spark):
+    df = spark.sql("SELECT 1L AS k, CAST(X'61FF20622061FF2062' AS STRING) AS t")
+    assert {r.gram: r.n for r in aggregate.global_ngrams(df, "t", 2).collect()} == {"a� b": 2, "b a�": 1}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -47,3 +52,10 @@ def test_grams_of_unique_keys_are_not_shuffled(spark, tmp_path):
     assert "Exchange" not in plan(aggregate.text_ngrams(docs, "doc_id", "text", 2))
     out = queries.QUERIES["g2_text_ngrams"](spark, str(tmp_path))
     assert plan(out).count("Exchange hashpartitioning") == 1 and {tuple(r)[1:] for r in out.collect()} == {(3, 2)}
+
+
+def test_grams_are_counted_before_the_shuffle(spark, tmp_path):
+    """g1 made every occurrence a row by interpreted array functions; now texts of one task hand on each gram once per piece."""
+    docs = spark.createDataFrame([("a b a b c",)] * 400, "text string").coalesce(1)
+    text = plan(aggregate.global_ngrams(docs, "text", 2))
+    assert "MapInArrow" in text and "Generate" not in text
