@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import message_lines
-from ..functions.text import as_text, let, ngrams, word_count, words
+from ..functions.text import as_text
 from .joins import BROADCAST_ROWS
 
 NAN = float("nan")
@@ -78,7 +78,8 @@ def row_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
 def global_ngrams(df: DataFrame, text: str, n: int) -> DataFrame:
     """(gram, n): word n-grams over all texts, counted within pieces of a task's rows first.
 
-    The workers' counts stand for the partial aggregation; grams hardly repeat beyond them, so they are dealt out at once.
+    From two words on, the workers' counts stand for the partial aggregation: such grams hardly repeat beyond them and are
+    dealt out at once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +96,8 @@ def global_ngrams(df: DataFrame, text: str, n: int) -> DataFrame:
         if counts:
             yield made(counts)
 
-    return df.select(as_text(text).alias("_text")).mapInArrow(run, "gram string, n bigint").repartition("gram").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = df.select(as_text(text).alias("_text")).mapInArrow(run, "gram string, n bigint")
+    return (counted if n == 1 else counted.repartition("gram")).groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def text_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -115,15 +117,34 @@ def text_ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return row_ngrams(df.join(again, same, "left_anti"), key, text, n).unionByName(more)
 
 
-def unigram_sums(df: DataFrame, text: str, out: str, hot: int = 1000) -> DataFrame:
+#: Up to so many of the most frequent words, of up to so many bytes each, go to every worker.
+COMMON_WORDS, COMMON_BYTES = 100_000, 64
+
+
+def common_words(model: DataFrame, total: int, hot: int) -> Column:
+    """Whether a word of the model (gram, n) is common: in the most frequent of COMMON_WORDS, by steps of a factor 2**(1/8)
+    of the count, or one of the fewer than `hot` words with more than 1/hot of all occurrences."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    short = F.octet_length("gram") <= COMMON_BYTES
+    least, words = None, 0
+    for r in sorted(model.where(short).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        words += r["n"]
+        if words > COMMON_WORDS:
+            break
+        least = r["step"]
+    frequent = F.col("n") * hot > total
+    return frequent if least is None else frequent | (short & (step >= least))
+
+
+def unigram_sums(df: DataFrame, text: str, out: str, hot: int = 1000, keep: Sequence[str] | None = None) -> DataFrame:
     """Adds struct(n, lp, entropy, variance): sums of the unigram model of all words of `text`, over every word but a text's first.
 
-    The model stays a table and is joined to the words of each row, counted per row before. Only the fewer than
-    `hot` words with more than 1/hot of all occurrences are broadcast, so no key of the other join has more rows than that.
-    As in models.UnigramScorer, one more occurrence stands for unknown words.
+    The model stays a table. Its common words (common_words) go to every worker, which sums them up within each row;
+    the other words of a row leave it counted and are joined to the model, so texts are not shuffled. `keep`: the columns
+    of the result besides (all, if None). As in models.UnigramScorer, one more occurrence stands for unknown words.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
-    model = global_ngrams(rows, text, 1).persist(StorageLevel.DISK_ONLY)
+    keep = list(df.columns if keep is None else keep)
+    model = global_ngrams(df, text, 1).persist(StorageLevel.DISK_ONLY)
     log = F.log(F.col("n").cast("double"))
     sums = model.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.coalesce(F.sum(F.col("n") * x), F.lit(0.0)).alias(k) for k, x in (("x", log), ("xx", log * log))]).first()
     total = sums["n"] + 1
@@ -132,14 +153,38 @@ def unigram_sums(df: DataFrame, text: str, out: str, hot: int = 1000) -> DataFra
     square = (sums["xx"] + 2 * unknown * sums["x"] + unknown**2 * sums["n"] + unknown**2) / total
     entropy, variance = -mean, max(0.0, square - mean**2)
 
-    frequent = F.col("n") * hot > sums["n"]
-    counted = rows.select("_row", F.explode(let(words(text), lambda w: F.slice(w, 2, F.size(w)))).alias("gram")).groupBy("_row", "gram").agg(F.count(F.lit(1)).alias("c"))
-    marked = counted.join(F.broadcast(model.where(frequent)), "gram", "left")
-    rest = marked.where("n IS NULL").drop("n").join(model.where(~frequent), "gram")
-    lp = marked.where("n IS NOT NULL").unionByName(rest).groupBy("_row").agg(F.sum(F.col("c") * (log + unknown)).alias("_lp"))
-    n = F.greatest(word_count(text) - 1, F.lit(0)).cast("long")
-    made = F.struct(n.alias("n"), F.coalesce("_lp", F.lit(0.0)).alias("lp"), (n * entropy).alias("entropy"), (n * variance).alias("variance"))
-    return rows.join(lp, "_row", "left").withColumn(out, made).drop("_row", "_lp")
+    is_common = common_words(model, sums["n"], hot)
+    known = df.sparkSession.sparkContext.broadcast({r["gram"]: math.log(r["n"]) + unknown for r in model.where(is_common).collect()})
+    kind = T.StructType([*(df.schema[c] for c in keep), *T._parse_datatype_string("_words bigint, _lp double, _rest array<struct<gram:string,c:bigint>>")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lp_of = known.value.get
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                words, lps, ends, grams, counts = [], [], [0], [], []
+                for t in texts_of(batch.column(len(keep))):
+                    w, lp = t.split(), 0.0
+                    words.append(max(0, len(w) - 1))
+                    for gram, c in Counter(w[1:]).items():
+                        x = lp_of(gram)
+                        if x is None:
+                            grams.append(gram)
+                            counts.append(c)
+                        else:
+                            lp += c * x
+                    lps.append(lp)
+                    ends.append(len(grams))
+                rest = pa.StructArray.from_arrays([pa.array(grams, pa.string()), pa.array(counts, pa.int64())], ["gram", "c"])
+                made = [pa.array(words, pa.int64()), pa.array(lps, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], kind.names)
+
+    rows = df.select(*keep, as_text(text).alias("_text")).mapInArrow(run, kind).withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    rest = rows.select("_row", F.inline("_rest")).join(model.where(~is_common), "gram")
+    lp = rest.groupBy("_row").agg(F.sum(F.col("c") * (log + unknown)).alias("_rest_lp"))
+    n = F.col("_words")
+    made = F.struct(n.alias("n"), (F.col("_lp") + F.coalesce("_rest_lp", F.lit(0.0))).alias("lp"), (n * entropy).alias("entropy"), (n * variance).alias("variance"))
+    return rows.drop("_rest").join(lp, "_row", "left").withColumn(out, made).drop("_row", "_words", "_lp", "_rest_lp")
 
 
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:

@@ -595,7 +595,7 @@ def l2_lm_statistics(spark, sf_dir):
 
 @query()
 def l1_unigram_sums(spark, sf_dir):
-    out = aggregate.unigram_sums(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", "s")
+    out = aggregate.unigram_sums(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", "s", keep=["doc_id"])
     return out.select("doc_id", "s.n", r6("s.lp").alias("lp"), r6(lm.curvature("s")).alias("fastdetect"))
 
 
