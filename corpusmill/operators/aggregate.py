@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -187,12 +188,79 @@ def unigram_sums(df: DataFrame, text: str, out: str, hot: int = 1000, keep: Sequ
     return rows.drop("_rest").join(lp, "_row", "left").withColumn(out, made).drop("_row", "_words", "_lp", "_rest_lp")
 
 
+#: Bits of a double by which one pass of `medians` splits a range: up to 2**DIGIT rows a column and task leave it.
+DIGIT = 12
+
+
+def digits_of(values: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of finite doubles: the bits from `shift` on of their order-preserving integers that occur (with all higher ones),
+    and for each the number, least and greatest of its values."""
+    v = np.sort(values + 0.0)  # no negative zero
+    bits = v.view(np.int64)
+    key = np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits) >> np.int64(shift)
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(v) else np.empty(0, np.int64)
+    to = np.append(at[1:], len(v))
+    return key[at], to - at, v[at], v[to - 1] if len(at) else v
+
+
+def medians(df: DataFrame, columns: Sequence[str]) -> list[float | None]:
+    """Exact medians of the finite values, None without any: the mean of the two middle values.
+
+    No task gathers the values. A pass counts them by their next DIGIT bits and keeps the range of the lower middle
+    value, until all of it are equal: at most 6 passes, each over what lies in the last one's ranges.
+    """
+    found: dict[str, float | None] = dict.fromkeys(columns)
+    rank, ends, after = {}, {}, {}  # of the lower middle value in its range; the range; the next greater value, and whether it is the upper one
+    kind = "i int, digit bigint, n bigint, lo double, hi double"
+    left = list(found)
+    for shift in [*range(64 - DIGIT, 0, -DIGIT), 0]:
+        if not left:
+            break
+
+        def run(batches: Iterator[pa.RecordBatch], shift: int = shift) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i, column in enumerate(batch.columns):
+                    digit, n, lo, hi = digits_of(column.drop_null().to_numpy(zero_copy_only=False), shift)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), i, np.int32)), pa.array(digit), pa.array(n), pa.array(lo), pa.array(hi)], ["i", "digit", "n", "lo", "hi"])
+
+        inside = [finite(F.col(c)) if c not in ends else F.when(finite(F.col(c)).between(*ends[c]), finite(F.col(c))) for c in left]
+        values = df.select(*[v.alias(f"_{i}") for i, v in enumerate(inside)])
+        values = values.where(" OR ".join(f"_{i} IS NOT NULL" for i in range(len(left))))
+        per: dict[str, list] = {c: [] for c in left}
+        for r in values.mapInArrow(run, kind).groupBy("i", "digit").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect():
+            per[left[r["i"]]].append((r["lo"], r["hi"], r["n"]))
+        for c, bins in per.items():
+            if not bins and c not in ends:
+                left = [x for x in left if x != c]
+                continue
+            total = sum(n for *_, n in bins)
+            if c not in ends:
+                rank[c], after[c] = (total - 1) // 2, (None, total % 2 == 0)
+            r = rank[c]
+            bins.sort()
+            for k, (lo, hi, n) in enumerate(bins):
+                if r < n:
+                    break
+                r -= n
+            else:
+                raise ValueError(f"column {c} changes from one reading to the next")
+            if k + 1 < len(bins):
+                after[c] = (bins[k + 1][0], after[c][1])
+            rank[c], ends[c] = r, (lo, hi)
+            if lo == hi:
+                upper, even = after[c]
+                found[c] = lo if not even or r + 1 < n else 0.5 * lo + 0.5 * upper
+                left = [x for x in left if x != c]
+    return [found[c] for c in columns]
+
+
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Per column: n (all rows), mean, median, std (population), min, max over finite values, and invalid. One pass."""
+    """Per column: n (all rows), mean, median, std (population), min, max over finite values, and invalid. One pass; exact medians are found before."""
     aggs = []
-    for c in columns:
+    middle = medians(df, columns) if exact else [None] * len(columns)
+    for c, m in zip(columns, middle, strict=True):
         v = finite(F.col(c))
-        median = F.percentile(v, 0.5) if exact else F.percentile_approx(v, 0.5, 10000)
+        median = F.lit(m) if exact else F.percentile_approx(v, 0.5, 10000)
         stats = {"mean": F.avg(v), "median": median, "std": F.stddev_pop(v), "min": F.min(v), "max": F.max(v)}
         aggs.append(F.struct(F.lit(c).alias("statistic"), F.count(F.lit(1)).alias("n"), *[F.coalesce(x.cast("double"), F.lit(NAN)).alias(k) for k, x in stats.items()], (F.count(F.lit(1)) - F.count(v)).alias("invalid")).alias(c))
     return df.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in columns])))
